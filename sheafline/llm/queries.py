@@ -7,11 +7,37 @@ from pyspark.sql import DataFrame, SparkSession
 from sheafline.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file, the same on the driver and the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheafline.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict = {"op9_simhash_near_dedup": op9_simhash_near_dedup}
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheafline.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op6_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheafline.llm.bpe import encode_decode
+
+    return encode_decode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), stable=True)
+
+
+QUERIES: dict = {
+    f.__name__: f
+    for f in (
+        op4_best_fit_packing,
+        op6_bpe_distinct_words,
+        op9_simhash_near_dedup,
+    )
+}
 ORACLES: dict = {}
