@@ -14,6 +14,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheafline.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheafline.llm.ann import search
+
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheafline.llm.simhash import near_duplicates
 
@@ -26,6 +38,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheafline.llm.sharding import shard
+
+    return shard(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheafline.llm.bpe import encode_decode
 
@@ -36,8 +54,11 @@ QUERIES: dict = {
     f.__name__: f
     for f in (
         op4_best_fit_packing,
+        op5_vector_sharding,
         op6_bpe_distinct_words,
+        op7_embedding_near_dedup,
         op9_simhash_near_dedup,
+        op10_nearest_neighbours,
     )
 }
 ORACLES: dict = {}
