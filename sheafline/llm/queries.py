@@ -32,6 +32,12 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheafline.llm.pii import find
+
+    return find(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheafline.llm.packing import pack
 
@@ -53,6 +59,7 @@ def op6_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict = {
     f.__name__: f
     for f in (
+        op3_personal_data,
         op4_best_fit_packing,
         op5_vector_sharding,
         op6_bpe_distinct_words,
