@@ -325,17 +325,24 @@ def find(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """docs with every span of the text replaced by its kind in brackets, overlapping spans by the
     first one's. A null text stays null; all columns stay in their order."""
-    text = F.coalesce(F.col(text_column), F.lit(""))
+    whole = F.coalesce("text", F.lit(""))
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    order = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    piece = lambda lo, hi: F.substring(text, (lo + 1).cast("int"), (hi - lo).cast("int"))
+    order = F.array_sort(
+        F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    )
+    piece = lambda lo, hi: F.substring(whole, (lo + 1).cast("int"), (hi - lo).cast("int"))
 
     def step(held: Column, s: Column) -> Column:
         fresh = s["start"] >= held["at"]
         new = F.concat(held["out"], F.array(piece(held["at"], s["start"]), tags[s["kind"]]))
         return F.struct(F.greatest(held["at"], s["end"]).alias("at"), F.when(fresh, new).otherwise(held["out"]).alias("out"))
 
+    def end(held: Column) -> Column:
+        return F.concat(F.array_join(held["out"], ""), F.substring(whole, (held["at"] + 1).cast("int"), F.length(whole)))
+
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    ends = lambda held: F.concat(F.array_join(held["out"], ""), F.substring(text, (held["at"] + 1).cast("int"), F.length(text)))
-    clean = F.when(F.size("_spans") > 0, F.aggregate(order, begin, step, ends)).otherwise(F.col(text_column))
-    return with_spans(docs, text_column).withColumn(text_column, clean).drop("_base_spans", "_spans")
+    clean = F.when(F.size("_spans") > 0, F.aggregate(order, begin, step, end)).otherwise(F.col("text"))
+    # The row travels as one struct, so no name of a column of docs can clash.
+    source = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_column].alias("text"))
+    found = with_spans(source).withColumn("clean", clean)
+    return found.select(*[F.col("clean" if c == text_column else f"row.`{c}`").alias(c) for c in docs.columns])

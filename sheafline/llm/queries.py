@@ -26,12 +26,31 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
 
 
+def op8_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheafline.llm.chat import link
+
+    return link(table(spark, sf_dir, "conversations"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheafline.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheafline.llm.quality import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheafline.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheafline.llm.pii import find
 
@@ -59,11 +78,14 @@ def op6_bpe_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict = {
     f.__name__: f
     for f in (
+        op1_quality_classifier,
+        op2_license_scan,
         op3_personal_data,
         op4_best_fit_packing,
         op5_vector_sharding,
         op6_bpe_distinct_words,
         op7_embedding_near_dedup,
+        op8_tool_call_linking,
         op9_simhash_near_dedup,
         op10_nearest_neighbours,
     )

@@ -207,3 +207,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """docs with one row of each group of near-duplicates, that of the smallest id; all columns as they are.
+
+    Of rows with one id a single one stays; rows with a null id all stay. The rows to drop are few and
+    only their ids are joined, so no column of docs can clash.
+    """
+    found = near_duplicates(docs, id_column, text_column)
+    gone = found.where("doc_id is not null and not kept").select(F.col("doc_id").alias(id_column)).distinct()
+    # The key of a row without an id is its own, so such rows are never one group.
+    row = F.when(F.col(id_column).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
+    left = docs.join(gone, id_column, "left_anti").select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"), row.alias("nth"))
+    return left.dropDuplicates(["id", "nth"]).select("row.*")
