@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 #: Options that never change what is computed.
 VOLATILE_OPTIONS = ("api_key", "stream")
 #: Options that steer the call and are not sent to the provider.
-CONTROL_OPTIONS = (
-    "api_key", "stream", "max_attempts", "timeout", "context_window", "image_tokens", "max_prompt_tokens", "model_version",
-)
+CONTROL_OPTIONS = ("api_key", "stream", "base_url", "timeout", "max_attempts", "context_window", "max_prompt_tokens")
 
 
 def digest(content: Column) -> Column:
@@ -78,9 +76,9 @@ def request_key(
         input_hashes=hashes,
         model=model,
         model_version=version,
-        options=F.map_from_entries(F.array_sort(F.map_entries(without(options, VOLATILE_OPTIONS)))),
-        prompt=prompt,
+        normalized_options=F.map_from_entries(F.array_sort(F.map_entries(without(options, VOLATILE_OPTIONS)))),
         provider=provider,
+        rendered_prompt=prompt,
         schema_hash=schema_hash,
     )
     return digest(body)

@@ -74,7 +74,7 @@ def context_verdict(prompt: Column, window: Column, images: Column, image_tokens
 
 def overflow_message(prompt: Column, window: Column, images: Column, image_tokens: Column) -> Column:
     """The refusal of a prompt that exceeds its window, with every number that was compared."""
-    cost = F.coalesce(F.format_string("about %d tokens each", image_tokens), F.lit("unstated cost"))
+    cost = F.when(image_tokens.isNull(), "unstated cost").otherwise(F.format_string("about %d tokens each", image_tokens))
     more = F.when(images > 0, F.format_string(" plus %d image(s) at %s", images, cost)).otherwise("")
     shown = F.coalesce(window.cast("string"), F.lit("None"))
     return F.format_string("the prompt needs about %d text tokens%s, and the stated window is %s", prompt, more, shown)

@@ -54,10 +54,12 @@ PAGE_ARTIFACTS = (
     "page_pdf", "page_image", "native_text", "normalized_image", "ocr_ready_image", "vlm_ready_image", "ocr_text",
     "ocr_markdown",
 )
-SUFFIXES = {"PDF": ("pdf",), "IMAGE": ("png", "jpg", "jpeg", "tif", "tiff", "bmp", "webp")}
+#: Suffixes by which a path is taken for a kind of input, and those that the image and OCR engines read.
+SUFFIXES = {"PDF": ("pdf",), "IMAGE": ("png", "jpg", "jpeg", "tif", "tiff", "bmp", "webp", "gif")}
+READABLE_IMAGES = ("bmp", "jpeg", "jpg", "png", "tif", "tiff")
 #: Keywords of a JSON schema that are enforced; the annotations may stand beside them.
 SCHEMA_KEYWORDS = ("type", "required", "properties", "additionalProperties", "items", "enum", "minItems")
-SCHEMA_ANNOTATIONS = ("$schema", "title", "description")
+SCHEMA_ANNOTATIONS = ("title", "description", "default")
 DEFAULT_GRAPH = {
     "classify": (),
     "extract_a": ("classify",),

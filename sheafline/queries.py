@@ -1,6 +1,9 @@
-"""The registered queries of the document operators and their SQL."""
+"""All registered queries of the document operators and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from sheafline import catalog
+from sheafline.catalog import answers, images, layout, state, text  # noqa: F401  they register
+
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
