@@ -46,11 +46,8 @@ def escape_ascii(text: Column) -> Column:
     """JSON text with each character beyond ASCII as \\uXXXX, surrogate pairs beyond the BMP."""
 
     def one(c: Column) -> Column:
-        point = F.conv(F.hex(F.encode(c, "UTF-32BE")), 16, 10).cast("int")
-        unit = lambda n: F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(n), 4, "0")))
-        over = point - 0x10000
-        pair = F.concat(unit(F.lit(0xD800) + F.shiftright(over, 10)), unit(F.lit(0xDC00) + over.bitwiseAND(F.lit(0x3FF))))
-        return F.when(point < 128, c).when(point < 0x10000, unit(point)).otherwise(pair)
+        units = F.lower(F.hex(F.encode(c, "UTF-16BE")))
+        return F.when(F.octet_length(c) == 1, c).otherwise(F.regexp_replace(units, "(.{4})", r"\\u$1"))
 
     plain = F.regexp_like(text, F.lit(r"^\p{ASCII}*$"))
     return F.when(plain, text).otherwise(F.array_join(F.transform(F.split(text, ""), one), ""))
