@@ -22,15 +22,15 @@ from pyspark.sql import functions as F
 
 from sheafline.llm.common import Forest, Scratch, runs
 from sheafline.llm.components import connected_components
-from sheafline.llm.vectors import batches_of, fit_sample, kmeans, matrix, packed, unit, unpacked, usable
+from sheafline.llm.vectors import batches_of, fit_sample, kmeans, matrix, packed, stored_type, unit, unpacked, usable
 
 THRESHOLD = 0.95
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 16_384
 #: The most cells: centres and their distances stay under 10 MB on each executor.
 MAX_CELLS = 1024
 
 
-def _assign(centres: np.ndarray, blocks: list[int], threshold: float):
+def _assign(centres: np.ndarray, blocks: list[int], threshold: float, kind: str):
     """Each class goes to every pair of blocks in which it can have a link."""
     starts = np.concatenate([[0], np.cumsum(blocks)])
     apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
@@ -41,11 +41,11 @@ def _assign(centres: np.ndarray, blocks: list[int], threshold: float):
         for batch in batches_of(batches, 512):
             if not batch.num_rows:
                 continue
-            rows = unit(matrix(batch.column("vec"), centres.shape[1]))
-            scores = rows @ centres.T
+            original = matrix(batch.column("vec"), centres.shape[1])
+            scores = unit(original) @ centres.T
             home = scores.argmax(1)
-            near = scores[np.arange(len(rows)), home][:, None] - scores <= reach * apart[home] + 1e-12
-            near[np.arange(len(rows)), home] = True
+            near = scores[np.arange(len(scores)), home][:, None] - scores <= reach * apart[home] + 1e-12
+            near[np.arange(len(scores)), home] = True
             row, cell = np.nonzero(near)
             many = np.asarray(blocks)[cell]
             at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -53,7 +53,7 @@ def _assign(centres: np.ndarray, blocks: list[int], threshold: float):
             ids = batch.column("id").to_numpy()
             own = starts[home] + _block(ids, np.asarray(blocks)[home])
             mine = own[row]
-            column = packed(rows)
+            column = packed(original, kind)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.minimum(mine, other)),
@@ -87,19 +87,19 @@ def _home_counts(centres: np.ndarray):
     return scan
 
 
-def _compare(dimension: int, threshold: float):
+def _compare(dimension: int, threshold: float, kind: str):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, ["a", "b"]):
             ids, weight = run.column("id").to_numpy(), run.column("weight").to_numpy()
-            rows = unpacked(run.column("vec"), dimension)
+            rows = unit(unpacked(run.column("vec"), dimension, kind))
             one = run.column("a")[0].as_py() == run.column("b")[0].as_py()
             side = run.column("side").to_numpy()
             left = np.arange(len(ids)) if one else np.flatnonzero(side == 0)
             right = left if one else np.flatnonzero(side == 1)
             forest, links = Forest(len(ids)), np.zeros(len(ids), np.int64)
             other = rows[right].T
-            for at in range(0, len(left) if len(right) else 0, 512):
-                part = left[at : at + 512]
+            for at in range(0, len(left) if len(right) else 0, 256):
+                part = left[at : at + 256]
                 i, j = np.nonzero(rows[part] @ other >= threshold)
                 i, j = part[i], right[j]
                 i, j = i[i != j], j[i != j]
@@ -146,15 +146,15 @@ def near_duplicates(
     found = classes.select("vec").mapInArrow(_home_counts(centres), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     counts = {r["cell"]: r["n"] for r in found.collect()}
     blocks = [max(1, -(-counts.get(c, 0) // block_rows)) for c in range(len(centres))]
-    dimension = centres.shape[1]
+    dimension, kind = centres.shape[1], stored_type(vectors, vector_column)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(sum(blocks) * (sum(blocks) + 1) // 2, 10_000))
     sent = classes.mapInArrow(
-        _assign(centres, blocks, threshold), "a long, b long, side int, id long, weight long, vec binary"
+        _assign(centres, blocks, threshold, kind), "a long, b long, side int, id long, weight long, vec binary"
     )
     compared = scratch.table(
         sent.repartition(parts, "a", "b")
         .sortWithinPartitions("a", "b", "id")
-        .mapInArrow(_compare(dimension, threshold), "id long, links long, root long")
+        .mapInArrow(_compare(dimension, threshold, kind), "id long, links long, root long")
     )
     components = connected_components(compared.select(F.col("id").alias("u"), F.col("root").alias("v")), scratch)
     linked = compared.groupBy("id").agg(F.sum("links").alias("links"))

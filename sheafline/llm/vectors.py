@@ -32,14 +32,19 @@ def matrix(column: pa.Array | pa.ChunkedArray, dimension: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
 
 
-def packed(rows: np.ndarray) -> pa.Array:
+def stored_type(vectors: DataFrame, vector_column: str = "embedding") -> str:
+    """The numpy type that holds a column's components without loss: what moves is as wide as that."""
+    return "f4" if vectors.schema[vector_column].dataType.elementType.typeName() == "float" else "f8"
+
+
+def packed(rows: np.ndarray, kind: str = "f8") -> pa.Array:
     """The rows of a matrix as a column of bytes."""
-    rows = np.ascontiguousarray(rows, np.float64)
+    rows = np.ascontiguousarray(rows, kind)
     return pa.array([r.tobytes() for r in rows], pa.binary())
 
 
-def unpacked(column: pa.Array | pa.ChunkedArray, dimension: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dimension)
+def unpacked(column: pa.Array | pa.ChunkedArray, dimension: int, kind: str = "f8") -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dimension).astype(np.float64)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
