@@ -58,9 +58,15 @@ def without(options: Column, names: tuple[str, ...]) -> Column:
     return F.map_filter(options, lambda k, _: ~k.isin(*names))
 
 
+def by_key(options: Column) -> Column:
+    """A map with its entries in the order of its keys; values need no order."""
+    keys = F.array_sort(F.map_keys(options))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(options, k)))
+
+
 def sorted_map(options: Column) -> Column:
     """A map's JSON with sorted keys."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(options))), {"ignoreNullFields": "false"})
+    return F.to_json(by_key(options), {"ignoreNullFields": "false"})
 
 
 def request_key(
@@ -73,7 +79,7 @@ def request_key(
         input_hashes=hashes,
         model=model,
         model_version=version,
-        normalized_options=F.map_from_entries(F.array_sort(F.map_entries(without(options, VOLATILE_OPTIONS)))),
+        normalized_options=by_key(without(options, VOLATILE_OPTIONS)),
         provider=provider,
         rendered_prompt=prompt,
         schema_hash=schema_hash,
