@@ -36,8 +36,8 @@ def json_schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(event % 6 == 4, F.lit('{"k": 1, "name": "n", "tags": [7]}'))
         .otherwise(F.lit('{"k": true, "name": null}'))
     )
-    value = F.try_parse_json(text)
-    return table(spark, sf_dir, "events").select("event_id", F.array_join(jsonschema.violations(value, _SCHEMA), "; ").alias("violations"))
+    rows = table(spark, sf_dir, "events").select("event_id", F.try_parse_json(text).alias("value"))
+    return rows.select("event_id", F.array_join(jsonschema.violations(F.col("value"), _SCHEMA), "; ").alias("violations"))
 
 
 @query("""

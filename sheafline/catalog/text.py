@@ -87,11 +87,9 @@ FROM documents
 def normalized_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normal forms of extracted text and Markdown, as digests."""
     text = F.col("text")
-    return table(spark, sf_dir, "documents").select(
-        "doc_id",
-        identity.digest(X.normalize_ocr_text(text)).alias("text_sha256"),
-        identity.digest(X.normalize_markdown(text)).alias("markdown_sha256"),
-        F.length(X.sanitize(text)).alias("sanitized"),
+    rows = table(spark, sf_dir, "documents").select("doc_id", X.normalize_ocr_text(text).alias("clean"), F.length(X.sanitize(text)).alias("sanitized"))
+    return rows.select(
+        "doc_id", identity.digest(F.col("clean")).alias("text_sha256"), identity.digest(X.ended(F.col("clean"))).alias("markdown_sha256"), "sanitized"
     )
 
 

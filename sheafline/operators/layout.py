@@ -217,35 +217,31 @@ def ocr_state(status: Column, error_type: Column, produced: Column, missing: Col
 
 
 def tsv_blocks(reports: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, block, block_id, text, bbox, line texts): the text report of PDF pages as blocks.
+    """(keys, block, block_id, text, bbox): the text report of PDF pages as blocks, without a shuffle.
 
     reports: (keys, report): tab-separated rows; level 3 opens a block and gives its box, level 4 closes
     a line, level 5 adds the word in column 11. Rows under 12 columns count for nothing; words are
     joined by a space, lines by a line break; blocks without words give no row and take no number.
     """
-    rows = (
-        reports.select(*keys, F.posexplode(F.split("report", "\r\n|\r|\n")).alias("pos", "line"))
-        .withColumn("c", F.split("line", "\t", -1))
-        .where(F.size("c") >= 12)
-        .withColumn("level", X.strip(F.col("c")[0]))
-    )
-    by = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    opened = lambda *levels: F.sum(F.when(F.col("level").isin(*levels), 1).otherwise(0)).over(by)
-    number = lambda i: F.try_to_number(F.trim(F.col("c")[i]), F.lit("S9999999.999999")).cast("double")
-    words = rows.withColumn("flow", opened("3")).withColumn("line_no", opened("3", "4")).withColumn("word", X.strip(F.col("c")[11]))
-    boxes = words.where("level = '3'").select(*keys, "flow", G.sized_box(number(6), number(7), number(8), number(9)).alias("bbox"))
-    texts = lambda sort, joined: F.array_join(F.transform(F.array_sort(F.collect_list(sort)), lambda s: s["text"]), joined)
-    lines = (
-        words.where("level = '5' and word != ''")
-        .groupBy(*keys, "flow", "line_no")
-        .agg(texts(F.struct("pos", F.col("word").alias("text")), " ").alias("text"))
-    )
-    flows = lines.groupBy(*keys, "flow").agg(texts(F.struct("line_no", "text"), "\n").alias("text"))
-    order = Window.partitionBy(*keys).orderBy("flow")
+    row = lambda level: rf"(?m)^[ ]*{level}[ ]*\t[^\n]*$"
+    # Rows that are too short are taken out, so that any row of level 3 or 4 is one that counts.
+    text = F.regexp_replace(X.unify_lines(F.col("report")), r"(?m)^(?:[^\t\n]*\t){0,10}[^\t\n]*$", "")
+    heads = F.regexp_extract_all("_report", F.lit(row(3)), F.lit(0))
+    word = lambda line: F.regexp_extract_all(line, F.lit(r"(?m)^[ ]*5[ ]*(?:\t[^\t\n]*){10}\t([^\t\n]*)"), F.lit(1))
+    line = lambda part: F.array_join(F.filter(F.transform(word(part), X.strip), lambda w: w != ""), " ")
+    flow = lambda part: F.array_join(F.filter(F.transform(F.split(part, row(4)), line), lambda t: t != ""), "\n")
+    flows = F.transform(F.split("_report", row(3)), lambda part, i: F.struct(i.alias("nth"), flow(part).alias("text")))
+    kept = F.filter("_flows", lambda f: f["text"] != "")
+    # What stands before the first row of level 3 has no box.
+    cells = F.split(F.get(F.col("_heads"), F.col("_flow.nth") - 1), "\t")
+    number = lambda i: cells[i].try_cast("double")
+    bbox = F.when(F.col("_flow.nth") > 0, G.sized_box(number(6), number(7), number(8), number(9)))
+    block = (F.col("_pos") + 1).cast("int")
     return (
-        flows.join(boxes, [*keys, "flow"], "left")
-        .withColumn("block", F.row_number().over(order))
-        .select(*keys, "block", X.numbered("block", F.col("block")).alias("block_id"), "text", "bbox")
+        reports.select(*keys, text.alias("_report"))
+        .select(*keys, heads.alias("_heads"), flows.alias("_flows"))
+        .select(*keys, "_heads", F.posexplode(kept).alias("_pos", "_flow"))
+        .select(*keys, block.alias("block"), X.numbered("block", block).alias("block_id"), F.col("_flow.text").alias("text"), bbox.alias("bbox"))
     )
 
 
