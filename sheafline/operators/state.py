@@ -96,10 +96,9 @@ def force(stages: DataFrame, forced: list[str]) -> DataFrame:
     """Invalidate, on every page, what stands on a forced stage; an unknown stage is an error."""
     for stage in forced:
         closure(S.STAGE_NEEDS, stage)
-    documents = stages.select("document_id").distinct()
-    spark = stages.sparkSession
-    each = spark.createDataFrame([(s, f"forced:{s}") for s in forced], "stage string, cause string")
-    return invalidate(stages, documents.crossJoin(F.broadcast(each)).withColumn("page_number", F.lit(None).cast("int")))
+    each = F.array(*[F.struct(F.lit(s).alias("stage"), F.lit(f"forced:{s}").alias("cause")) for s in forced])
+    changed = stages.select("document_id").distinct().select("document_id", F.lit(None).cast("int").alias("page_number"), F.inline(each))
+    return invalidate(stages, changed)
 
 
 def priority(status: Column) -> Column:
@@ -265,3 +264,38 @@ def execution_plan(pages: DataFrame, policy: Column, key: Column, reusable_stage
 def trace(document_rows: DataFrame, page_rows: DataFrame) -> DataFrame:
     """Decisions or errors of documents, then of pages, one under the other."""
     return document_rows.unionByName(page_rows, allowMissingColumns=True)
+
+
+# --- Records --------------------------------------------------------------------------------------
+
+
+def to_payload(rows: DataFrame, key: str) -> DataFrame:
+    """(key, payload): each row as one deterministic JSON record, nulls kept."""
+    return rows.select(key, F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}).alias("payload"))
+
+
+def from_payload(payloads: DataFrame, ddl: str) -> DataFrame:
+    """Records read back by their schema; one that doesn't fit fails the job."""
+    return payloads.select(F.from_json("payload", ddl, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+def create_documents(requests: DataFrame) -> DataFrame:
+    """A PAUSED row for each request (document_id, path, declared, input_sha256), with a run id."""
+    return requests.select(
+        "document_id", "path", routing.input_type(F.col("path"), F.col("declared"), F.lit(True)).alias("input_type"), F.col("input_sha256").alias("input_hash"),
+        identity.run_id().alias("workflow_run_id"), F.lit("PAUSED").alias("status"), F.lit(None).cast("string").alias("final_result"),
+    )
+
+
+def create_pages(documents: DataFrame) -> DataFrame:
+    """A row for each page of documents (document_id, page_count), every artifact still null."""
+    number = F.explode(F.sequence(F.lit(1), F.col("page_count")))
+    rows = documents.where("page_count > 0").select("document_id", number.alias("page_number"))
+    return rows.select("*", F.lit("NOT_STARTED").alias("status"), *[F.lit(None).cast("string").alias(a) for a in S.PAGE_ARTIFACTS])
+
+
+def matching_state(saved: DataFrame, graph_id: str, version: str) -> DataFrame:
+    """Saved graph states of this graph and version; one of another is an error that names it."""
+    other = (F.col("graph_id") != graph_id) | (F.col("graph_version") != version)
+    wrong = F.concat(F.lit("DEPENDENCY_ERROR: the saved state is of "), "graph_id", F.lit(" "), "graph_version")
+    return saved.withColumn("graph_id", F.when(other, F.raise_error(wrong).cast("string")).otherwise(F.col("graph_id")))

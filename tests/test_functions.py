@@ -161,3 +161,13 @@ def test_provider_and_engine_failures(spark):
     engine = lambda e, c: one(spark, prompts.engine_failure(F.lit(e), F.lit(c), F.lit("RENDER_ERROR")))
     assert [engine("Syntax Error", 3), engine("", 3), engine("", 1), engine("Wrong page range given", 99), engine("", 2), engine("", 9)] == [
         "CORRUPTED_PDF", "ENCRYPTED_PDF", "INVALID_INPUT", "PAGE_EXTRACTION_ERROR", "IO_ERROR", "RENDER_ERROR"]
+
+
+def test_typed_options(spark):
+    items = F.array(*[F.lit(x) for x in ("a=1", "b=x y", 'c={"k": [true]}', "d=", "a=2", 'e="q')])
+    got = one(spark, F.transform_values(options.typed_values(items), lambda _, v: F.to_json(v)))
+    assert got == {"a": "2", "b": '"x y"', "c": '{"k":[true]}', "d": '""', "e": '"\\"q"'}
+    stated = F.create_map(*[F.lit(x) for x in ("api_key", "k", "top_p", "1", "timeout", "3")])
+    assert one(spark, options.without_control(stated)) == {"top_p": "1"}
+    fixed = F.create_map(F.lit("top_p"), F.lit("2"))
+    assert one(spark, options.engine_config(stated, fixed)) == {"api_key": "k", "timeout": "3", "top_p": "2"}

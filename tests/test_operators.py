@@ -161,3 +161,25 @@ def test_graphs():
     for bad in ({"nodes": []}, {"nodes": [{"id": "a"}, {"id": "a"}]}, {"nodes": [{"id": "a", "dependencies": ["b"]}, {"id": "b"}]}, {"what": 1}, {"nodes": [{"id": " "}]}):
         with pytest.raises(answers.GraphError):
             answers.compile_graph(bad)
+
+
+def test_records_round_trip(spark):
+    rows = spark.createDataFrame([("d", None, [1, 2])], "document_id string, note string, pages array<int>")
+    payload = state.to_payload(rows, "document_id")
+    assert payload.first()["payload"] == '{"document_id":"d","note":null,"pages":[1,2]}'
+    assert state.from_payload(payload, "document_id string, note string, pages array<int>").collect() == rows.collect()
+
+
+def test_new_documents_and_pages(spark):
+    requests = spark.createDataFrame([("d", "a.pdf", "auto", "h")], "document_id string, path string, declared string, input_sha256 string")
+    row = state.create_documents(requests).first()
+    assert (row["input_type"], row["status"]) == ("PDF", "PAUSED") and row["workflow_run_id"].startswith("run-")
+    pages = state.create_pages(spark.createDataFrame([("d", 2), ("e", 0)], "document_id string, page_count int")).collect()
+    assert [(r["page_number"], r["native_text"]) for r in pages] == [(1, None), (2, None)]
+
+
+def test_saved_graphs_must_match(spark):
+    saved = spark.createDataFrame([("g", "1")], "graph_id string, graph_version string")
+    assert state.matching_state(saved, "g", "1").count() == 1
+    with pytest.raises(Exception, match="saved state is of g 1"):
+        state.matching_state(saved, "g", "2").collect()
