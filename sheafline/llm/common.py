@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,54 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
+from sheafline.sources.scratch import Scratch, drop
+
+__all__ = ["Forest", "Scratch", "drop", "ranked", "runs", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
-    found = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="sheafline-")
-        spark.conf.set(CHECKPOINT_DIR, found)
-    return found.rstrip("/")
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(conf).delete(at, True)
-
-
-class Scratch:
-    """Tables written to the shared folder to cut lineage; whatever is left goes when the driver ends."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/sheafline-{name}-{uuid.uuid4().hex}"
-        self.count = 0
-        atexit.register(self.clear)
-
-    def write(self, df: DataFrame) -> tuple[DataFrame, str]:
-        path = f"{self.root}/{self.count}"
-        self.count += 1
-        df.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), path
-
-    def table(self, df: DataFrame) -> DataFrame:
-        return self.write(df)[0]
-
-    def clear(self) -> None:
-        try:
-            if self.spark.sparkContext._jsc is not None:
-                drop(self.spark, self.root)
-        except Exception:  # the session may have ended before the driver does
-            pass
-
-
 def ranked(df: DataFrame, key: str, order: list[str], rows: int, name: str = "rank") -> DataFrame:
     """Add the rank (long, from 0, gapless) of each row among the rows of its key.
 

@@ -115,7 +115,7 @@ def test_best_bin_first_lists_all_leaves():
     listed = list(tree.leaves(rows[0]))
     assert sorted(listed) == sorted(tree.members) and sum(len(m) for m in tree.members.values()) == 500
     assert set(tree.file(rows)) <= set(tree.members)
-    assert 0 < ann.calibrate(tree, rows, 10, 0.9) <= ann.calibrate(tree, rows, 10, 0.99) <= 1
+    assert 0 < ann.calibrate(tree, rows, 10, 0.9) <= ann.calibrate(tree, rows, 10, 0.99) <= 1 and ann.calibrate(tree, rows[:1], 10, 0.9) == 1
 
 
 def test_kmeans():
