@@ -21,7 +21,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of SimHash near-duplicates: that of the smallest doc_id."""
+    """One row of each group of near-duplicates, that of the smallest doc_id: fingerprints within 3 bits, or
+    sets of five-word shingles with 0.8 or more in common, found through wide fingerprints."""
     return simhash.keep_one(docs)
 
 

@@ -16,7 +16,8 @@ the pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,20 +51,27 @@ def fingerprint(text: str | None, words: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of rows of 64-bit words, or of single words."""
+    bits = np.bitwise_count(a ^ b).astype(np.int64)
+    return bits if bits.ndim == 1 else bits.sum(1)
+
+
 class BKTree:
-    """Distinct 64-bit values; the children of a node stand by their distance to it.
+    """Distinct values of one or more 64-bit words; the children of a node stand by their distance to it.
 
-    ``edge`` holds parent * 65 + distance in ascending order and ``child`` the node it leads to, so
+    ``edge`` holds parent * span + distance in ascending order and ``child`` the node it leads to, so
     the edges of a node within a range of distances are one slice.
     """
 
     def __init__(self, values: np.ndarray):
         self.values = values
+        self.span = 64 * (1 if values.ndim == 1 else values.shape[1]) + 1
         node = np.zeros(len(values) - 1, np.int64)
         left = np.arange(1, len(values))
         edges, children = [], []
         while len(left):
-            key = node * 65 + np.bitwise_count(values[left] ^ values[node])
+            key = node * self.span + distances(values[left], values[node])
             kinds, first, back = np.unique(key, return_index=True, return_inverse=True)
             edges.append(kinds)
             children.append(left[first])
@@ -79,12 +87,12 @@ class BKTree:
         """Arrays (query, node) of the pairs within the radius, one level of the tree after another."""
         query, node = np.arange(len(queries)), np.zeros(len(queries), np.int64)
         while len(query):
-            distance = np.bitwise_count(queries[query] ^ self.values[node]).astype(np.int64)
+            distance = distances(queries[query], self.values[node])
             near = distance <= radius
             if near.any():
                 yield query[near], node[near]
-            lo = np.searchsorted(self.edge, node * 65 + np.maximum(distance - radius, 0))
-            hi = np.searchsorted(self.edge, node * 65 + np.minimum(distance + radius, 64), side="right")
+            lo = np.searchsorted(self.edge, node * self.span + np.maximum(distance - radius, 0))
+            hi = np.searchsorted(self.edge, node * self.span + np.minimum(distance + radius, self.span - 1), side="right")
             many = hi - lo
             total = int(many.sum())
             query = np.repeat(query, many)
@@ -161,22 +169,25 @@ def _shards(distinct: DataFrame) -> DataFrame:
 def near_links(distinct: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """distinct(fp, rep), each fp once -> links (u, v) between reps whose closure joins every pair of
     fingerprints within RADIUS bits."""
-    dealt = _shards(distinct)
+    return _linked(_shards(distinct), "fp", ["fp", "rep"], _shard_links, shard_rows)
+
+
+def _linked(dealt: DataFrame, deal: str, columns: list[str], links: Callable, shard_rows: int) -> DataFrame:
+    """The links of rows (key, columns) that share a key. A key of more than shard_rows rows is cut into
+    chunks by a hash of ``deal``, and every pair of chunks is a shard of its own."""
     shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    chunks = F.ceil(F.col("n") / F.lit(shard_rows)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     cut = (
         dealt.join(shared, "key")
-        .withColumn("chunks", chunks)
-        .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-        .withColumn("other", other)
-        .select("key", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "fp", "rep")
+        .withColumn("chunks", F.ceil(F.col("n") / F.lit(shard_rows)).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64(deal), F.col("chunks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("key", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", *columns)
     )
-    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         cut.repartition(parts, "key", "a", "b")
         .sortWithinPartitions("key", "a", "b", "rep")
-        .mapInArrow(_shard_links, "u long, v long")
+        .mapInArrow(links, "u long, v long")
     )
 
 
@@ -209,14 +220,233 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
 
+# --- similar texts ----------------------------------------------------------------------------------
+
+#: Words of a shingle and the share of common shingles from which two texts are near-duplicates.
+SIMILAR_WORDS, SIMILARITY = 5, 0.8
+#: 64-bit words of a wide fingerprint. Two of them are the companion that shards compare; the blocks that
+#: deal texts to shards are cut from the others; all together decide.
+LANES, COMPANION = 16, 2
+#: Of pairs at the similarity, the share that meets in a shard at least.
+MEET = 0.99
+_LANE = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
+
+
+def differing(similarity: float) -> float:
+    """The share of bits in which two sets of equal size and this similarity are expected to differ."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def shingle_hashes(text: str | None, words: int = SIMILAR_WORDS) -> np.ndarray:
+    """The hashes of the set of shingles; the whole sequence where there are fewer words, none without."""
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return np.empty(0, np.uint64)
+    shingles = {b" ".join(found)} if len(found) <= words else set(map(b" ".join, zip(*(found[i:] for i in range(words)))))
+    return np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64)
+
+
+def wide_fingerprint(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
+    """LANES 64-bit words over the set of shingles; all zero for a text without words."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return bytes(8 * LANES)
+    ones = np.zeros(64 * LANES, np.int64)
+    for at in range(0, len(hashes), 4096):
+        mixed = hashes[at : at + 4096, None] + _LANE
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(31)
+        ones += np.unpackbits(mixed.view(np.uint8).reshape(len(mixed), -1), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").tobytes()
+
+
+def block_plan(rows: int, similarity: float) -> tuple[int, int]:
+    """Bits of a block and how many blocks: shards stay near 64 rows as the corpus grows, and pairs at the
+    similarity agree on some block with the chance MEET, as far as the lanes reach."""
+    bits = max(10, min(16, math.ceil(math.log2(max(rows, 2))) - 6))
+    agree = (1 - differing(similarity)) ** bits
+    wanted = math.ceil(math.log(1 - MEET) / math.log(1 - agree))
+    return bits, min(wanted, (LANES - COMPANION) * (64 // bits))
+
+
+def _deal_blocks(bits: int, blocks: int):
+    per = 64 // bits
+    lane, shift = COMPANION + np.arange(blocks) // per, (np.arange(blocks) % per * bits).astype(np.uint64)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                wide = np.frombuffer(b"".join(part.column("wide").to_pylist()), np.uint64).reshape(-1, LANES)
+                keys = (wide[:, lane] >> shift) & np.uint64((1 << bits) - 1)
+                keys |= np.arange(blocks, dtype=np.uint64)[None, :] << np.uint64(32)
+                repeat = lambda x: pa.array(np.repeat(x, blocks))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.ravel().view(np.int64)), repeat(part.column("rep").to_numpy()), *(repeat(wide[:, c].view(np.int64)) for c in range(COMPANION))],
+                    ["key", "rep", "f0", "f1"],
+                )
+
+    return scan
+
+
+def _companion_links(similarity: float):
+    """Pairs whose companions are near, strongest first, as a forest: who is linked by strong pairs stays
+    so without the others."""
+    bits = 64 * COMPANION
+    share = differing(similarity)
+    spread = math.sqrt(share * (1 - share) * bits)
+    radii = (int(bits * share + spread), int(bits * share + 3 * spread))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, ["key", "a", "b"]):
+            reps = run.column("rep").to_numpy()
+            if len(reps) < 2:
+                continue
+            values = np.stack([run.column(c).to_numpy().view(np.uint64) for c in ("f0", "f1")], axis=1)
+            us, vs = [], []
+            if len(reps) == 2:
+                if distances(values[:1], values[1:])[0] <= radii[1]:
+                    us, vs = [reps[:1]], [reps[1:]]
+            else:
+                a, b, chunk = run.column("a")[0].as_py(), run.column("b")[0].as_py(), run.column("chunk").to_numpy()
+                tree = np.arange(len(reps)) if a == b else np.flatnonzero(chunk == a)
+                queries = tree if a == b else np.flatnonzero(chunk == b)
+                if not len(tree) or not len(queries):
+                    continue
+                forest, built = Forest(len(reps)), BKTree(values[tree])
+                for radius in radii:
+                    for at in range(0, len(queries), 256):
+                        part = queries[at : at + 256]
+                        for query, node in built.within(values[part], radius):
+                            i, j = part[query], tree[node]
+                            ends = np.sort(np.stack([forest.root[i], forest.root[j]], 1), 1)
+                            kept = np.unique(ends, axis=0, return_index=True)[1]
+                            kept = kept[ends[kept, 0] != ends[kept, 1]]
+                            us.append(reps[i[kept]])
+                            vs.append(reps[j[kept]])
+                            forest.join(i[kept], j[kept])
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+
+    return scan
+
+
+def _agreeing(similarity: float):
+    """Keep the pairs whose whole wide fingerprints differ in no more bits than texts of the similarity do,
+    with three standard deviations of room."""
+    bits = 64 * LANES
+    share = differing(similarity)
+    most = bits * share + 3 * math.sqrt(share * (1 - share) * bits)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, LANES) for c in ("wu", "wv")]
+            near = pa.array(distances(*wide) <= most) if batch.num_rows else pa.array([], pa.bool_())
+            yield batch.select(["u", "v"]).filter(near)
+
+    return scan
+
+
+def _sets(words: int):
+    """(rep, hashes): the sorted 32-bit hashes of each text's set of shingles, as bytes."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "hashes"])
+
+    return scan
+
+
+def _similar(similarity: float):
+    """Keep the pairs of sets whose common part is ``similarity`` of their union or more."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for one, other in zip(batch.column("su").to_pylist(), batch.column("sv").to_pylist()):
+                one, other = np.frombuffer(one, np.uint32), np.frombuffer(other, np.uint32)
+                common = len(np.intersect1d(one, other, assume_unique=True))
+                near.append(common >= similarity * (len(one) + len(other) - common))
+            yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    return scan
+
+
+def with_wide_fingerprints(docs: DataFrame, id_column: str, text_column: str, words: int = SIMILAR_WORDS) -> DataFrame:
+    """(doc_id long, fp long, wide binary): both fingerprints of each row in one pass over the texts."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column(1)]
+            own = np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64)
+            wide = pa.array([wide_fingerprint(t, words) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own), wide], ["doc_id", "fp", "wide"])
+
+    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    return source.mapInArrow(scan, "doc_id long, fp long, wide binary")
+
+
+def similar_links(
+    classes: DataFrame, texts: DataFrame, rows: int, scratch: Scratch, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY,
+    shard_rows: int = SHARD_ROWS,
+) -> DataFrame:
+    """classes(rep, wide), each wide fingerprint once, and texts(rep, text) -> links (u, v) of similar reps.
+
+    Companions propose a forest a shard, whole fingerprints sift it, and the sets of shingles decide; only
+    the texts of pairs that are left are read for that.
+    """
+    bits, blocks = block_plan(rows, similarity)
+    dealt = classes.mapInArrow(_deal_blocks(bits, blocks), "key long, rep long, f0 long, f1 long")
+    near = _linked(dealt, "rep", ["f0", "f1", "rep"], _companion_links(similarity), shard_rows).distinct()
+    side = lambda df, name, own, as_: df.select(F.col("rep").alias(name), F.col(own).alias(as_))
+    sifted = near.join(side(classes, "u", "wide", "wu"), "u").join(side(classes, "v", "wide", "wv"), "v")
+    left = scratch.table(sifted.mapInArrow(_agreeing(similarity), "u long, v long"))
+    ends = left.select(F.col("u").alias("rep")).union(left.select("v")).distinct()
+    sets = scratch.table(
+        texts.join(ends, "rep", "left_semi").select("rep", "text").mapInArrow(_sets(words), "rep long, hashes binary")
+        .groupBy("rep").agg(F.min("hashes").alias("hashes"))
+    )
+    pairs = left.join(side(sets, "u", "hashes", "su"), "u").join(side(sets, "v", "hashes", "sv"), "v")
+    return pairs.mapInArrow(_similar(similarity), "u long, v long")
+
+
+def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id long, component_id long): the rows with an id by their group of near-duplicates.
+
+    Two texts are linked if their fingerprints are within RADIUS bits, as ``near_duplicates`` has it, or if
+    their sets of shingles of ``words`` words are similar. Similarity is read off wide fingerprints, whose
+    differing bits follow the angle between the sets: BK-trees over companions of 128 bits propose, all
+    1,024 bits decide, so a pair just under the similarity can be linked and one at it is missed rarely.
+    Empty texts are a group. component_id is the smallest doc_id reachable.
+    """
+    from sheafline.llm.components import connected_components
+
+    scratch = Scratch(docs.sparkSession, "similar")
+    rows = scratch.table(with_wide_fingerprints(docs, id_column, text_column, words).where("doc_id is not null"))
+    classes = scratch.table(rows.groupBy("wide").agg(F.min("doc_id").alias("rep")))
+    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    # A document stands for its class; a fingerprint's first document and its class are one group.
+    own = rows.join(classes, "wide").select("doc_id", "rep", "fp").join(distinct.select("fp", F.col("rep").alias("first")), "fp")
+    ties = own.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).union(own.select("doc_id", "first")).where("u != v")
+    texts = docs.select(F.col(id_column).cast("long").alias("rep"), F.col(text_column).alias("text"))
+    similar = similar_links(classes, texts, classes.count(), scratch, words, similarity)
+    links = similar.union(near_links(scratch.table(distinct))).union(ties)
+    components = connected_components(links, scratch)
+    return rows.select("doc_id").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "doc_id", F.coalesce("component", "doc_id").alias("component_id")
+    )
+
+
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """docs with one row of each group of near-duplicates, that of the smallest id; all columns as they are.
+    """docs with one row of each of the ``similar_groups``, that of the smallest id; all columns as they are.
 
     Of rows with one id a single one stays; rows with a null id all stay. The rows to drop are few and
     only their ids are joined, so no column of docs can clash.
     """
-    found = near_duplicates(docs, id_column, text_column)
-    gone = found.where("doc_id is not null and not kept").select(F.col("doc_id").alias(id_column)).distinct()
+    found = similar_groups(docs, id_column, text_column)
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(id_column)).distinct()
     # The key of a row without an id is its own, so such rows are never one group.
     row = F.when(F.col(id_column).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
     left = docs.join(gone, id_column, "left_anti").select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"), row.alias("nth"))

@@ -12,7 +12,7 @@ from conftest import DATA, ROOT
 import __spark_entry__
 import corpus_pipeline
 from sheafline.llm import quality, queries
-from test_simhash import brute_components, brute_fingerprint
+from test_simhash import brute_groups
 
 
 @pytest.fixture(scope="module")
@@ -45,8 +45,8 @@ def test_quality(spark, stages):
 
 def test_dedup(stages):
     _, before, after = stages[1]
-    rows = [(r["doc_id"], brute_fingerprint(r["text"])) for r in before.collect()]
-    assert {r["doc_id"] for r in after.collect()} == set(brute_components(rows).values())
+    rows = [(r["doc_id"], r["text"]) for r in before.collect()]
+    assert {r["doc_id"] for r in after.collect()} == set(brute_groups(rows).values())
 
 
 def test_privacy(stages):
