@@ -71,7 +71,7 @@ def paragraph_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_ISLANDS.replace('min((pos % 60)', 'min((pos % 60)')},
 blocks AS (SELECT document_id, 'block' AS kind, row_number() OVER (PARTITION BY document_id ORDER BY pos) AS n, text,
                   CASE WHEN plain THEN t ELSE (pos % 60) / 60.0::DOUBLE END AS t, 0.1::DOUBLE AS l FROM merged),
-tables AS (SELECT doc_id AS document_id, 'table' AS kind, 1 AS n, lang AS text, 0.5::DOUBLE AS t, 0.1::DOUBLE AS l FROM documents WHERE doc_id % 4 = 0),
+tables AS (SELECT doc_id AS document_id, 'table' AS kind, 1 AS n, lang AS text, 0.5::DOUBLE AS t, 0.1::DOUBLE AS l FROM documents),
 both_ AS (SELECT * FROM blocks UNION ALL SELECT * FROM tables)
 SELECT document_id, kind || '_' || lpad(CAST(n AS VARCHAR), 3, '0') AS id,
        row_number() OVER (PARTITION BY document_id ORDER BY round(t, 6), round(l, 6), n, kind) AS position, sha256(text) AS text_sha256
@@ -79,7 +79,7 @@ FROM both_ QUALIFY position <= 3
 """)
 def reading_order_top_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first three of merged blocks and tables in reading order (a top-k report)."""
-    docs = table(spark, sf_dir, "documents").where(F.col("doc_id") % 4 == 0)
+    docs = table(spark, sf_dir, "documents")
     half = G.box(F.lit(0.1), F.lit(0.5), F.lit(0.9), F.lit(0.6))
     tables = docs.select(F.col("doc_id").alias("document_id"), F.lit(1).alias("order"), F.col("lang").alias("markdown"), half.alias("bbox"))
     one_page = lines(spark, sf_dir).withColumn("page", F.lit(1)).withColumn("bbox", F.col("bbox"))

@@ -62,21 +62,25 @@ def page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH p AS (SELECT CAST(conv_id AS VARCHAR) AS document_id, CASE WHEN role = 'system' THEN 'FAILED' WHEN role = 'user' THEN 'SUCCESS' ELSE 'SKIPPED' END AS status
-           FROM conversations WHERE conv_id % 10 <> 0),
-d AS (SELECT DISTINCT CAST(conv_id AS VARCHAR) AS document_id, conv_id % 7 = 0 AS review, CASE conv_id % 5 WHEN 0 THEN 'OCR' WHEN 1 THEN 'LLM' END AS stop_after FROM conversations)
+           FROM conversations),
+d AS (SELECT DISTINCT CAST(conv_id AS VARCHAR) AS document_id, conv_id % 7 = 0 AS review, CASE conv_id % 5 WHEN 0 THEN 'OCR' WHEN 1 THEN 'LLM' END AS stop_after FROM conversations
+      UNION ALL SELECT 'page-' || page_id, page_id % 7 = 0, CASE page_id % 5 WHEN 0 THEN 'OCR' WHEN 1 THEN 'LLM' END FROM pages)
 SELECT d.document_id, CASE WHEN any_value(review) THEN 'REVIEW_REQUIRED' WHEN count(p.status) = 0 THEN 'FAILED' WHEN any_value(stop_after) = 'OCR' THEN 'PAUSED'
   WHEN bool_or(p.status = 'FAILED') THEN CASE WHEN bool_or(p.status = 'SUCCESS') THEN 'PARTIAL' ELSE 'FAILED' END ELSE 'SUCCESS' END AS status
 FROM d LEFT JOIN p ON p.document_id = d.document_id GROUP BY 1
 """)
 def document_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents' states by their pages; every tenth has none, every seventh is under review."""
+    """Documents' states by their pages: conversations have turns, web pages none; every seventh is under
+    review."""
     turns, conv = table(spark, sf_dir, "conversations"), F.col("conv_id")
     status = F.when(F.col("role") == "system", "FAILED").when(F.col("role") == "user", "SUCCESS").otherwise("SKIPPED")
-    pages = turns.where(conv % 10 != 0).select(conv.cast("string").alias("document_id"), status.alias("status"))
-    documents = turns.select(
-        conv.cast("string").alias("document_id"), (conv % 7 == 0).alias("review"), F.when(conv % 5 == 0, "OCR").when(conv % 5 == 1, "LLM").alias("stop_after")
-    ).distinct()
-    return state.document_status(pages, documents)
+    pages = turns.select(conv.cast("string").alias("document_id"), status.alias("status"))
+    listed = lambda df, id_, name: df.select(
+        name.alias("document_id"), (id_ % 7 == 0).alias("review"), F.when(id_ % 5 == 0, "OCR").when(id_ % 5 == 1, "LLM").alias("stop_after")
+    )
+    page = F.col("page_id")
+    empty = listed(table(spark, sf_dir, "pages"), page, F.concat(F.lit("page-"), page.cast("string")))
+    return state.document_status(pages, listed(turns, conv, conv.cast("string")).distinct().unionByName(empty))
 
 
 @query(f"""
