@@ -90,4 +90,18 @@ QUERIES: dict = {
         op10_nearest_neighbours,
     )
 }
-ORACLES: dict = {}
+#: Vectors are compared pair by pair here, which only small tables bear. The other operators fit models,
+#: call tokenizers, compress or pack, which SQL cannot say; tests hold them against brute force.
+ORACLES: dict = {
+    "op7_embedding_near_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r(u, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.u, l.v FROM r JOIN l ON l.u = r.c),
+c AS (SELECT u, min(c) AS component_id FROM r GROUP BY u),
+n AS (SELECT u, count(*) AS n_links FROM l GROUP BY u)
+SELECT c.u AS vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, c.u = c.component_id AS kept FROM c LEFT JOIN n ON n.u = c.u
+""",
+}
