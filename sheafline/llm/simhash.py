@@ -172,10 +172,12 @@ def near_links(distinct: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     return _linked(_shards(distinct), "fp", ["fp", "rep"], _shard_links, shard_rows)
 
 
-def _linked(dealt: DataFrame, deal: str, columns: list[str], links: Callable, shard_rows: int) -> DataFrame:
+def _linked(dealt: DataFrame, deal: str, columns: list[str], links: Callable, shard_rows: int, few_keys: bool = False) -> DataFrame:
     """The links of rows (key, columns) that share a key. A key of more than shard_rows rows is cut into
-    chunks by a hash of ``deal``, and every pair of chunks is a shard of its own."""
+    chunks by a hash of ``deal``, and every pair of chunks is a shard of its own. few_keys: their number has
+    a bound of its own, so their counts are broadcast."""
     shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = F.broadcast(shared) if few_keys else shared
     cut = (
         dealt.join(shared, "key")
         .withColumn("chunks", F.ceil(F.col("n") / F.lit(shard_rows)).cast("int"))
@@ -227,8 +229,10 @@ SIMILAR_WORDS, SIMILARITY = 5, 0.8
 #: 64-bit words of a wide fingerprint. Two of them are the companion that shards compare; the blocks that
 #: deal texts to shards are cut from the others; all together decide.
 LANES, COMPANION = 16, 2
-#: Of pairs at the similarity, the share that meets in a shard at least.
-MEET = 0.99
+#: Bits of a block, and of pairs at the similarity the share that agrees on some block at least.
+BLOCK_BITS, MEET = 12, 0.99
+#: The part of the blocks that goes first; later shards leave out what these have linked already.
+FIRST = 1 / 4
 _LANE = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
 
 
@@ -261,18 +265,18 @@ def wide_fingerprint(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
     return np.packbits(2 * ones > len(hashes), bitorder="little").tobytes()
 
 
-def block_plan(rows: int, similarity: float) -> tuple[int, int]:
-    """Bits of a block and how many blocks: shards stay near 64 rows as the corpus grows, and pairs at the
-    similarity agree on some block with the chance MEET, as far as the lanes reach."""
-    bits = max(10, min(16, math.ceil(math.log2(max(rows, 2))) - 6))
+def block_count(similarity: float, bits: int = BLOCK_BITS) -> int:
+    """How many blocks it takes for pairs at the similarity to agree on some block with the chance MEET."""
     agree = (1 - differing(similarity)) ** bits
     wanted = math.ceil(math.log(1 - MEET) / math.log(1 - agree))
-    return bits, min(wanted, (LANES - COMPANION) * (64 // bits))
+    if wanted > (LANES - COMPANION) * (64 // bits):
+        raise ValueError("the fingerprints are too narrow for so many blocks")
+    return wanted
 
 
-def _deal_blocks(bits: int, blocks: int):
-    per = 64 // bits
-    lane, shift = COMPANION + np.arange(blocks) // per, (np.arange(blocks) % per * bits).astype(np.uint64)
+def _deal_blocks(blocks: range, bits: int = BLOCK_BITS):
+    each, per = np.arange(blocks.start, blocks.stop), 64 // bits
+    lane, shift = COMPANION + each // per, (each % per * bits).astype(np.uint64)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,19 +284,17 @@ def _deal_blocks(bits: int, blocks: int):
                 part = batch.slice(at, 2048)
                 wide = np.frombuffer(b"".join(part.column("wide").to_pylist()), np.uint64).reshape(-1, LANES)
                 keys = (wide[:, lane] >> shift) & np.uint64((1 << bits) - 1)
-                keys |= np.arange(blocks, dtype=np.uint64)[None, :] << np.uint64(32)
-                repeat = lambda x: pa.array(np.repeat(x, blocks))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel().view(np.int64)), repeat(part.column("rep").to_numpy()), *(repeat(wide[:, c].view(np.int64)) for c in range(COMPANION))],
-                    ["key", "rep", "f0", "f1"],
-                )
+                keys |= each.astype(np.uint64)[None, :] << np.uint64(32)
+                repeat = lambda x: pa.array(np.repeat(x, len(each)))
+                columns = [part.column("rep").to_numpy(), part.column("label").to_numpy(), *(wide[:, c].view(np.int64) for c in range(COMPANION))]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), *map(repeat, columns)], ["key", "rep", "label", "f0", "f1"])
 
     return scan
 
 
 def _companion_links(similarity: float):
-    """Pairs whose companions are near, strongest first, as a forest: who is linked by strong pairs stays
-    so without the others."""
+    """Pairs whose companions are near and whose labels differ, strongest first, as a forest: who is linked
+    by strong pairs stays so without the others."""
     bits = 64 * COMPANION
     share = differing(similarity)
     spread = math.sqrt(share * (1 - share) * bits)
@@ -300,8 +302,8 @@ def _companion_links(similarity: float):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, ["key", "a", "b"]):
-            reps = run.column("rep").to_numpy()
-            if len(reps) < 2:
+            reps, label = run.column("rep").to_numpy(), run.column("label").to_numpy()
+            if len(reps) < 2 or (label == label[0]).all():
                 continue
             values = np.stack([run.column(c).to_numpy().view(np.uint64) for c in ("f0", "f1")], axis=1)
             us, vs = [], []
@@ -315,14 +317,20 @@ def _companion_links(similarity: float):
                 if not len(tree) or not len(queries):
                     continue
                 forest, built = Forest(len(reps)), BKTree(values[tree])
+                _, first, back = np.unique(label, return_index=True, return_inverse=True)
+                forest.root = first[back]
                 for radius in radii:
                     for at in range(0, len(queries), 256):
                         part = queries[at : at + 256]
                         for query, node in built.within(values[part], radius):
                             i, j = part[query], tree[node]
+                            open_ = forest.root[i] != forest.root[j]
+                            # Of the pairs that join the same two groups, that of the smallest documents.
+                            i, j = np.minimum(i, j)[open_], np.maximum(i, j)[open_]
+                            order = np.lexsort((j, i))
+                            i, j = i[order], j[order]
                             ends = np.sort(np.stack([forest.root[i], forest.root[j]], 1), 1)
                             kept = np.unique(ends, axis=0, return_index=True)[1]
-                            kept = kept[ends[kept, 0] != ends[kept, 1]]
                             us.append(reps[i[kept]])
                             vs.append(reps[j[kept]])
                             forest.join(i[kept], j[kept])
@@ -332,18 +340,24 @@ def _companion_links(similarity: float):
     return scan
 
 
+def _bits_apart(similarity: float, spreads: float) -> float:
+    """The bits of the whole fingerprints in which texts of the similarity differ, and so many standard
+    deviations more."""
+    bits, share = 64 * LANES, differing(similarity)
+    return bits * share + spreads * math.sqrt(share * (1 - share) * bits)
+
+
 def _agreeing(similarity: float):
-    """Keep the pairs whose whole wide fingerprints differ in no more bits than texts of the similarity do,
-    with three standard deviations of room."""
-    bits = 64 * LANES
-    share = differing(similarity)
-    most = bits * share + 3 * math.sqrt(share * (1 - share) * bits)
+    """(u, v, sure) of the pairs whose whole fingerprints are near enough; sure: well within."""
+    most, surely = _bits_apart(similarity, 3), _bits_apart(similarity, -1)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wide = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, LANES) for c in ("wu", "wv")]
-            near = pa.array(distances(*wide) <= most) if batch.num_rows else pa.array([], pa.bool_())
-            yield batch.select(["u", "v"]).filter(near)
+            if batch.num_rows:
+                wide = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, LANES) for c in ("wu", "wv")]
+                apart = distances(*wide)
+                found = pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(apart <= surely)], ["u", "v", "sure"])
+                yield found.filter(pa.array(apart <= most))
 
     return scan
 
@@ -389,20 +403,33 @@ def with_wide_fingerprints(docs: DataFrame, id_column: str, text_column: str, wo
 
 
 def similar_links(
-    classes: DataFrame, texts: DataFrame, rows: int, scratch: Scratch, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY,
+    classes: DataFrame, texts: DataFrame, scratch: Scratch, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """classes(rep, wide), each wide fingerprint once, and texts(rep, text) -> links (u, v) of similar reps.
 
     Companions propose a forest a shard, whole fingerprints sift it, and the sets of shingles decide; only
-    the texts of pairs that are left are read for that.
+    the texts of pairs that are left are read for that. The first blocks go ahead: groups that they surely
+    link are labels, and later shards propose nothing within a label, so a large group of copies is not
+    proposed again for each block.
     """
-    bits, blocks = block_plan(rows, similarity)
-    dealt = classes.mapInArrow(_deal_blocks(bits, blocks), "key long, rep long, f0 long, f1 long")
-    near = _linked(dealt, "rep", ["f0", "f1", "rep"], _companion_links(similarity), shard_rows).distinct()
+    from sheafline.llm.components import connected_components
+
     side = lambda df, name, own, as_: df.select(F.col("rep").alias(name), F.col(own).alias(as_))
-    sifted = near.join(side(classes, "u", "wide", "wu"), "u").join(side(classes, "v", "wide", "wv"), "v")
-    left = scratch.table(sifted.mapInArrow(_agreeing(similarity), "u long, v long"))
+
+    def proposed(labelled: DataFrame, blocks: range) -> DataFrame:
+        dealt = labelled.mapInArrow(_deal_blocks(blocks), "key long, rep long, label long, f0 long, f1 long")
+        # As many keys as blocks have values, whatever the corpus holds: at most 2**BLOCK_BITS a block.
+        near = _linked(dealt, "rep", ["f0", "f1", "rep", "label"], _companion_links(similarity), shard_rows, few_keys=True).distinct()
+        sifted = near.join(side(classes, "u", "wide", "wu"), "u").join(side(classes, "v", "wide", "wv"), "v")
+        return scratch.table(sifted.mapInArrow(_agreeing(similarity), "u long, v long, sure boolean"))
+
+    count = block_count(similarity)
+    ahead = max(1, round(count * FIRST))
+    first = proposed(classes.withColumn("label", F.col("rep")), range(ahead))
+    labels = connected_components(first.where("sure").select("u", "v"), scratch).withColumnRenamed("node", "rep")
+    labelled = classes.join(labels, "rep", "left").select("rep", "wide", F.coalesce("component", "rep").alias("label"))
+    left = first.union(proposed(labelled, range(ahead, count))).select("u", "v")
     ends = left.select(F.col("u").alias("rep")).union(left.select("v")).distinct()
     sets = scratch.table(
         texts.join(ends, "rep", "left_semi").select("rep", "text").mapInArrow(_sets(words), "rep long, hashes binary")
@@ -431,7 +458,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     own = rows.join(classes, "wide").select("doc_id", "rep", "fp").join(distinct.select("fp", F.col("rep").alias("first")), "fp")
     ties = own.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).union(own.select("doc_id", "first")).where("u != v")
     texts = docs.select(F.col(id_column).cast("long").alias("rep"), F.col(text_column).alias("text"))
-    similar = similar_links(classes, texts, classes.count(), scratch, words, similarity)
+    similar = similar_links(classes, texts, scratch, words, similarity)
     links = similar.union(near_links(scratch.table(distinct))).union(ties)
     components = connected_components(links, scratch)
     return rows.select("doc_id").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(

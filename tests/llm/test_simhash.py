@@ -165,7 +165,6 @@ def test_wide_trees_and_blocks():
     values = np.unique(base ^ flips, axis=0)
     found = {(int(q), int(n)) for qs, ns in H.BKTree(values).within(values, 25) for q, n in zip(qs, ns)}
     assert found == {(i, j) for i in range(len(values)) for j in range(len(values)) if H.distances(values[i : i + 1], values[j : j + 1])[0] <= 25}
-    for rows in (1, 10_000, 10**6, 10**9):
-        bits, blocks = H.block_plan(rows, 0.8)
-        assert blocks * bits <= 64 * (H.LANES - H.COMPANION) and 1 - (1 - (1 - H.differing(0.8)) ** bits) ** blocks > 0.98
+    blocks = H.block_count(0.8)
+    assert 1 - (1 - (1 - H.differing(0.8)) ** H.BLOCK_BITS) ** blocks > 0.989
     assert H.differing(1.0) == 0 and H.wide_fingerprint("") == bytes(128)
