@@ -430,7 +430,7 @@ def similar_links(
     labels = connected_components(first.where("sure").select("u", "v"), scratch).withColumnRenamed("node", "rep")
     labelled = classes.join(labels, "rep", "left").select("rep", "wide", F.coalesce("component", "rep").alias("label"))
     left = first.union(proposed(labelled, range(ahead, count))).select("u", "v")
-    ends = left.select(F.col("u").alias("rep")).union(left.select("v")).distinct()
+    ends = scratch.table(left.select(F.col("u").alias("rep")).union(left.select("v")).distinct())
     sets = scratch.table(
         texts.join(ends, "rep", "left_semi").select("rep", "text").mapInArrow(_sets(words), "rep long, hashes binary")
         .groupBy("rep").agg(F.min("hashes").alias("hashes"))
@@ -469,12 +469,16 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """docs with one row of each of the ``similar_groups``, that of the smallest id; all columns as they are.
 
-    Of rows with one id a single one stays; rows with a null id all stay. The rows to drop are few and
-    only their ids are joined, so no column of docs can clash.
+    Of rows with one id a single one stays; rows with a null id all stay. Only ids are joined, so no column
+    of docs can clash.
     """
-    found = similar_groups(docs, id_column, text_column)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(id_column)).distinct()
-    # The key of a row without an id is its own, so such rows are never one group.
-    row = F.when(F.col(id_column).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
-    left = docs.join(gone, id_column, "left_anti").select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"), row.alias("nth"))
-    return left.dropDuplicates(["id", "nth"]).select("row.*")
+    scratch = Scratch(docs.sparkSession, "kept")
+    found = scratch.table(similar_groups(docs, id_column, text_column))
+    # Tables of ids, written, so that Spark knows their sizes and shuffles the texts only if it must.
+    gone = scratch.table(found.where("doc_id != component_id").select(F.col("doc_id").alias(id_column)).distinct())
+    again = found.groupBy(F.col("doc_id").alias(id_column)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_column)
+    again = scratch.table(again)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    left = docs.join(gone, id_column, "left_anti").select(*columns)
+    once = left.join(again, id_column, "left_anti").select(*columns)
+    return once.union(left.join(again, id_column, "left_semi").select(*columns).dropDuplicates([id_column]))
