@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from sheafline.llm.common import Forest, Scratch, runs
 
 SHARD_ROWS = 4096
+#: Fingerprints that walk a tree together: at most WALK * SHARD_ROWS pairs are held at a time.
+WALK = 64
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
@@ -45,8 +47,8 @@ def fingerprint(text: str | None, words: int = SHINGLE) -> int:
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(s, SEED) for s in shingles), np.uint64)
     ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 65536):
-        part = hashes[at : at + 65536]
+    for at in range(0, len(hashes), 16384):
+        part = hashes[at : at + 16384]
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
@@ -103,8 +105,8 @@ class BKTree:
 def _forest(values: np.ndarray, tree: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """For each value the smallest position linked to it, through a BK-tree of ``tree``'s positions."""
     forest, built = Forest(len(values)), BKTree(values[tree])
-    for at in range(0, len(queries), 512):
-        part = queries[at : at + 512]
+    for at in range(0, len(queries), WALK):
+        part = queries[at : at + WALK]
         for query, node in built.within(values[part], RADIUS):
             forest.join(part[query], tree[node])
     return forest.root
@@ -256,8 +258,8 @@ def wide_fingerprint(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
     if not len(hashes):
         return bytes(8 * LANES)
     ones = np.zeros(64 * LANES, np.int64)
-    for at in range(0, len(hashes), 4096):
-        mixed = hashes[at : at + 4096, None] + _LANE
+    for at in range(0, len(hashes), 1024):
+        mixed = hashes[at : at + 1024, None] + _LANE
         mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         mixed ^= mixed >> np.uint64(31)
@@ -320,8 +322,8 @@ def _companion_links(similarity: float):
                 _, first, back = np.unique(label, return_index=True, return_inverse=True)
                 forest.root = first[back]
                 for radius in radii:
-                    for at in range(0, len(queries), 256):
-                        part = queries[at : at + 256]
+                    for at in range(0, len(queries), WALK):
+                        part = queries[at : at + WALK]
                         for query, node in built.within(values[part], radius):
                             i, j = part[query], tree[node]
                             open_ = forest.root[i] != forest.root[j]
@@ -393,10 +395,14 @@ def with_wide_fingerprints(docs: DataFrame, id_column: str, text_column: str, wo
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(1)]
-            own = np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64)
-            wide = pa.array([wide_fingerprint(t, words) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own), wide], ["doc_id", "fp", "wide"])
+            own, wide = np.empty(batch.num_rows, np.uint64), []
+            for i, text in enumerate(batch.column(1)):
+                text = text.as_py()
+                own[i] = fingerprint(text)
+                wide.append(wide_fingerprint(text, words))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(own.view(np.int64)), pa.array(wide, pa.binary())], ["doc_id", "fp", "wide"]
+            )
 
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     return source.mapInArrow(scan, "doc_id long, fp long, wide binary")
