@@ -223,11 +223,11 @@ def tsv_blocks(reports: DataFrame, keys: list[str]) -> DataFrame:
     a line, level 5 adds the word in column 11. Rows under 12 columns count for nothing; words are
     joined by a space, lines by a line break; blocks without words give no row and take no number.
     """
-    row = lambda level: rf"(?m)^[ ]*{level}[ ]*\t[^\n]*$"
+    row = lambda level: rf"(?m)^[ ]*+{level}[ ]*+\t[^\n]*+$"
     # Rows that are too short are taken out, so that any row of level 3 or 4 is one that counts.
-    text = F.regexp_replace(X.unify_lines(F.col("report")), r"(?m)^(?:[^\t\n]*\t){0,10}[^\t\n]*$", "")
+    text = F.regexp_replace(X.unify_lines(F.col("report")), r"(?m)^(?:[^\t\n]*+\t){0,10}+[^\t\n]*+$", "")
     heads = F.regexp_extract_all("_report", F.lit(row(3)), F.lit(0))
-    word = lambda line: F.regexp_extract_all(line, F.lit(r"(?m)^[ ]*5[ ]*(?:\t[^\t\n]*){10}\t([^\t\n]*)"), F.lit(1))
+    word = lambda line: F.regexp_extract_all(line, F.lit(r"(?m)^[ ]*+5[ ]*+(?:\t[^\t\n]*+){10}\t([^\t\n]*+)"), F.lit(1))
     line = lambda part: F.array_join(F.filter(F.transform(word(part), X.strip), lambda w: w != ""), " ")
     flow = lambda part: F.array_join(F.filter(F.transform(F.split(part, row(4)), line), lambda t: t != ""), "\n")
     flows = F.transform(F.split("_report", row(3)), lambda part, i: F.struct(i.alias("nth"), flow(part).alias("text")))
