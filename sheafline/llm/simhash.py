@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.llm.common import Forest, Scratch, runs
@@ -174,15 +174,16 @@ def near_links(distinct: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     return _linked(_shards(distinct), "fp", ["fp", "rep"], _shard_links, shard_rows)
 
 
-def _linked(dealt: DataFrame, deal: str, columns: list[str], links: Callable, shard_rows: int, few_keys: bool = False) -> DataFrame:
+def _linked(dealt: DataFrame, deal: str, columns: list[str], links: Callable, shard_rows: int, few_keys: bool = False, weight: Column | None = None) -> DataFrame:
     """The links of rows (key, columns) that share a key. A key of more than shard_rows rows is cut into
     chunks by a hash of ``deal``, and every pair of chunks is a shard of its own. few_keys: their number has
-    a bound of its own, so their counts are broadcast."""
-    shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    a bound of its own, so their counts are broadcast. weight: the share of a chunk that a row fills, where
+    rows differ in size; shard_rows bounds a chunk still."""
+    shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(0.0) if weight is None else weight).alias("w")).where("n > 1")
     shared = F.broadcast(shared) if few_keys else shared
     cut = (
         dealt.join(shared, "key")
-        .withColumn("chunks", F.ceil(F.col("n") / F.lit(shard_rows)).cast("int"))
+        .withColumn("chunks", F.ceil(F.greatest(F.col("n") / F.lit(shard_rows), "w")).cast("int"))
         .withColumn("chunk", F.pmod(F.xxhash64(deal), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("key", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", *columns)
@@ -229,12 +230,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 #: Words of a shingle and the share of common shingles from which two texts are near-duplicates.
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
 #: 64-bit words of a wide fingerprint. Two of them are the companion that shards compare; the blocks that
-#: deal texts to shards are cut from the others; all together decide.
+#: deal texts to shards are cut from the others.
 LANES, COMPANION = 16, 2
 #: Bits of a block, and of pairs at the similarity the share that agrees on some block at least.
 BLOCK_BITS, MEET = 12, 0.99
 #: The part of the blocks that goes first; later shards leave out what these have linked already.
 FIRST = 1 / 4
+#: Bytes of sets of shingles that a task compares at a time, on average; a longer set stands alone.
+SET_BYTES = 1 << 24
 _LANE = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
 
 
@@ -295,12 +298,11 @@ def _deal_blocks(blocks: range, bits: int = BLOCK_BITS):
 
 
 def _companion_links(similarity: float):
-    """Pairs whose companions are near and whose labels differ, strongest first, as a forest: who is linked
-    by strong pairs stays so without the others."""
+    """A spanning forest of the pairs whose companions are near, and of the labels: who is in one tree may be
+    similar, directly or through others, and who is not is not."""
     bits = 64 * COMPANION
     share = differing(similarity)
-    spread = math.sqrt(share * (1 - share) * bits)
-    radii = (int(bits * share + spread), int(bits * share + 3 * spread))
+    radius = int(bits * share + 3 * math.sqrt(share * (1 - share) * bits))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, ["key", "a", "b"]):
@@ -308,10 +310,8 @@ def _companion_links(similarity: float):
             if len(reps) < 2 or (label == label[0]).all():
                 continue
             values = np.stack([run.column(c).to_numpy().view(np.uint64) for c in ("f0", "f1")], axis=1)
-            us, vs = [], []
             if len(reps) == 2:
-                if distances(values[:1], values[1:])[0] <= radii[1]:
-                    us, vs = [reps[:1]], [reps[1:]]
+                linked, to = (np.array([1]), np.array([0])) if distances(values[:1], values[1:])[0] <= radius else (np.empty(0, int),) * 2
             else:
                 a, b, chunk = run.column("a")[0].as_py(), run.column("b")[0].as_py(), run.column("chunk").to_numpy()
                 tree = np.arange(len(reps)) if a == b else np.flatnonzero(chunk == a)
@@ -321,45 +321,15 @@ def _companion_links(similarity: float):
                 forest, built = Forest(len(reps)), BKTree(values[tree])
                 _, first, back = np.unique(label, return_index=True, return_inverse=True)
                 forest.root = first[back]
-                for radius in radii:
-                    for at in range(0, len(queries), WALK):
-                        part = queries[at : at + WALK]
-                        for query, node in built.within(values[part], radius):
-                            i, j = part[query], tree[node]
-                            open_ = forest.root[i] != forest.root[j]
-                            # Of the pairs that join the same two groups, that of the smallest documents.
-                            i, j = np.minimum(i, j)[open_], np.maximum(i, j)[open_]
-                            order = np.lexsort((j, i))
-                            i, j = i[order], j[order]
-                            ends = np.sort(np.stack([forest.root[i], forest.root[j]], 1), 1)
-                            kept = np.unique(ends, axis=0, return_index=True)[1]
-                            us.append(reps[i[kept]])
-                            vs.append(reps[j[kept]])
-                            forest.join(i[kept], j[kept])
-            if us:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
-
-    return scan
-
-
-def _bits_apart(similarity: float, spreads: float) -> float:
-    """The bits of the whole fingerprints in which texts of the similarity differ, and so many standard
-    deviations more."""
-    bits, share = 64 * LANES, differing(similarity)
-    return bits * share + spreads * math.sqrt(share * (1 - share) * bits)
-
-
-def _agreeing(similarity: float):
-    """(u, v, sure) of the pairs whose whole fingerprints are near enough; sure: well within."""
-    most, surely = _bits_apart(similarity, 3), _bits_apart(similarity, -1)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                wide = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, LANES) for c in ("wu", "wv")]
-                apart = distances(*wide)
-                found = pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(apart <= surely)], ["u", "v", "sure"])
-                yield found.filter(pa.array(apart <= most))
+                for at in range(0, len(queries), WALK):
+                    part = queries[at : at + WALK]
+                    for query, node in built.within(values[part], radius):
+                        forest.join(part[query], tree[node])
+                # The first of a label stands for it; the others are with it already.
+                linked = first[forest.root[first] != first]
+                to = forest.root[linked]
+            if len(linked):
+                yield pa.RecordBatch.from_arrays([pa.array(reps[linked]), pa.array(reps[to])], ["u", "v"])
 
     return scan
 
@@ -376,16 +346,44 @@ def _sets(words: int):
 
 
 def _similar(similarity: float):
-    """Keep the pairs of sets whose common part is ``similarity`` of their union or more."""
+    """A spanning forest of the pairs of sets whose common part is ``similarity`` of their union or more.
+
+    Every pair of a run is decided by the sets themselves, but for those that decided pairs have joined.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = []
-            for one, other in zip(batch.column("su").to_pylist(), batch.column("sv").to_pylist()):
-                one, other = np.frombuffer(one, np.uint32), np.frombuffer(other, np.uint32)
-                common = len(np.intersect1d(one, other, assume_unique=True))
-                near.append(common >= similarity * (len(one) + len(other) - common))
-            yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+        for run in runs(batches, ["key", "a", "b"]):
+            reps = run.column("rep").to_numpy()
+            a, b, chunk = run.column("a")[0].as_py(), run.column("b")[0].as_py(), run.column("chunk").to_numpy()
+            if len(reps) < 2 or a != b and (chunk == chunk[0]).all():
+                continue
+            sets = [np.frombuffer(h, np.uint32) for h in run.column("hashes").to_pylist()]
+            size = np.array([len(h) for h in sets])
+            start = np.cumsum(size) - size
+            kinds, told = np.unique(np.concatenate(sets), return_inverse=True)
+            forest, own, us, vs = Forest(len(reps)), np.zeros(len(kinds), bool), [], []
+            for i in range(len(reps) - 1):
+                rest = np.arange(i + 1, len(reps))
+                able = (forest.root[rest] != forest.root[i]) & (size[rest] > 0) & (np.minimum(size[rest], size[i]) >= similarity * np.maximum(size[rest], size[i]))
+                if a != b:
+                    able &= chunk[rest] != chunk[i]
+                rest = rest[able]
+                if not len(rest):
+                    continue
+                many = size[rest]
+                ends = np.cumsum(many)
+                at = np.arange(ends[-1]) + np.repeat(start[rest] - ends + many, many)
+                mine = told[start[i] : start[i] + size[i]]
+                own[mine] = True
+                common = np.add.reduceat(own[told[at]], ends - many, dtype=np.int64)
+                own[mine] = False
+                near = rest[common >= similarity * (size[i] + many - common)]
+                near = near[np.unique(forest.root[near], return_index=True)[1]]
+                us.append(reps[near])
+                vs.append(np.repeat(reps[i], len(near)))
+                forest.join(near, np.repeat(i, len(near)))
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
 
     return scan
 
@@ -414,44 +412,40 @@ def similar_links(
 ) -> DataFrame:
     """classes(rep, wide), each wide fingerprint once, and texts(rep, text) -> links (u, v) of similar reps.
 
-    Companions propose a forest a shard, whole fingerprints sift it, and the sets of shingles decide; only
-    the texts of pairs that are left are read for that. The first blocks go ahead: groups that they surely
-    link are labels, and later shards propose nothing within a label, so a large group of copies is not
-    proposed again for each block.
+    Companions give each shard a forest of who may be similar; the trees of all shards joined are families,
+    and no two texts of different families met as near. In a family the sets of shingles decide every pair,
+    and only pairs so decided link. The first blocks go ahead: what they joined are labels, and later shards
+    propose nothing within a label, so a large group of copies is not proposed again for each block.
     """
     from sheafline.llm.components import connected_components
 
-    side = lambda df, name, own, as_: df.select(F.col("rep").alias(name), F.col(own).alias(as_))
-
     def proposed(labelled: DataFrame, blocks: range) -> DataFrame:
         dealt = labelled.mapInArrow(_deal_blocks(blocks), "key long, rep long, label long, f0 long, f1 long")
         # As many keys as blocks have values, whatever the corpus holds: at most 2**BLOCK_BITS a block.
-        near = _linked(dealt, "rep", ["f0", "f1", "rep", "label"], _companion_links(similarity), shard_rows, few_keys=True).distinct()
-        sifted = near.join(side(classes, "u", "wide", "wu"), "u").join(side(classes, "v", "wide", "wv"), "v")
-        return scratch.table(sifted.mapInArrow(_agreeing(similarity), "u long, v long, sure boolean"))
+        return scratch.table(_linked(dealt, "rep", ["f0", "f1", "rep", "label"], _companion_links(similarity), shard_rows, few_keys=True).distinct())
 
     count = block_count(similarity)
     ahead = max(1, round(count * FIRST))
     first = proposed(classes.withColumn("label", F.col("rep")), range(ahead))
-    labels = connected_components(first.where("sure").select("u", "v"), scratch).withColumnRenamed("node", "rep")
+    labels = connected_components(first, scratch).withColumnRenamed("node", "rep")
     labelled = classes.join(labels, "rep", "left").select("rep", "wide", F.coalesce("component", "rep").alias("label"))
-    left = first.union(proposed(labelled, range(ahead, count))).select("u", "v")
-    ends = scratch.table(left.select(F.col("u").alias("rep")).union(left.select("v")).distinct())
-    sets = scratch.table(
-        texts.join(ends, "rep", "left_semi").select("rep", "text").mapInArrow(_sets(words), "rep long, hashes binary")
+    near = first.union(proposed(labelled, range(ahead, count)))
+    families = scratch.table(connected_components(near, scratch).select(F.col("node").alias("rep"), F.col("component").alias("key")))
+    sets = (
+        texts.join(families.select("rep"), "rep", "left_semi").select("rep", "text").mapInArrow(_sets(words), "rep long, hashes binary")
         .groupBy("rep").agg(F.min("hashes").alias("hashes"))
     )
-    pairs = left.join(side(sets, "u", "hashes", "su"), "u").join(side(sets, "v", "hashes", "sv"), "v")
-    return pairs.mapInArrow(_similar(similarity), "u long, v long")
+    members = scratch.table(families.join(sets, "rep"))
+    return _linked(members, "rep", ["rep", "hashes"], _similar(similarity), shard_rows, weight=F.octet_length("hashes") / SET_BYTES)
 
 
 def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id long, component_id long): the rows with an id by their group of near-duplicates.
 
     Two texts are linked if their fingerprints are within RADIUS bits, as ``near_duplicates`` has it, or if
-    their sets of shingles of ``words`` words are similar. Similarity is read off wide fingerprints, whose
-    differing bits follow the angle between the sets: BK-trees over companions of 128 bits propose, all
-    1,024 bits decide, so a pair just under the similarity can be linked and one at it is missed rarely.
+    their sets of shingles of ``words`` words are similar. Candidates are read off wide fingerprints, whose
+    differing bits follow the angle between the sets: BK-trees over companions of 128 bits give families, and
+    in a family the sets decide, so no pair under the similarity is linked and one at it is missed rarely.
     Empty texts are a group. component_id is the smallest doc_id reachable.
     """
     from sheafline.llm.components import connected_components

@@ -158,6 +158,47 @@ def test_similar_texts_are_grouped(spark):
     assert all(expected[d] == expected[got[d]] for d in got)
 
 
+def test_a_base_and_its_copies(spark):
+    """Copies much like their base and less like each other: loose pairs must not stand in for real ones."""
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1001):
+        words = list(base)
+        for at in rng.sample(range(5, 395, 6), 6):
+            words[at] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    sets = [shingles(t) for _, t in rows[:60]]
+    alike = lambda x, y: len(x & y) / len(x | y)
+    assert all(0.84 < alike(sets[0], s) < 0.87 for s in sets[1:])
+    assert sum(alike(x, y) < 0.8 for x in sets[1:] for y in sets[1:]) > 0.9 * 59 * 58
+    got = {r["doc_id"]: r["component_id"] for r in H.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == 1001 and sum(c != 0 for c in got.values()) <= 2
+
+
+def test_families_are_decided_pair_by_pair(spark):
+    """A family in one piece, in chunks of rows and in chunks of bytes: the same groups as by brute force."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(22)
+    rows = copies(rng, 6, 120)
+    rows = sorted(dict(rows).items())
+    sets = {d: np.unique(H.shingle_hashes(t).astype(np.uint32)) for d, t in rows}
+    members = spark.createDataFrame([(d, 1, bytearray(h.tobytes())) for d, h in sets.items()], "rep long, key long, hashes binary")
+    linked = {(i, j) for i in sets for j in sets if i < j and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+
+    def groups(links):
+        at = {d: k for k, d in enumerate(sets)}
+        forest = Forest(len(at))
+        forest.join(np.array([at[u] for u, _ in links]), np.array([at[v] for _, v in links]))
+        return forest.root.tolist()
+
+    for shard_rows, weight in ((H.SHARD_ROWS, None), (9, None), (H.SHARD_ROWS, F.octet_length("hashes") / 5000)):
+        found = [(r["u"], r["v"]) for r in H._linked(members, "rep", ["rep", "hashes"], H._similar(0.8), shard_rows, weight=weight).collect()]
+        assert {(min(p), max(p)) for p in found} <= linked and groups(found) == groups(linked)
+        assert shard_rows < 10 or weight is not None or len(found) < len(rows)
+
+
 def test_wide_trees_and_blocks():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, (1, 2), np.uint64)
