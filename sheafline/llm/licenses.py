@@ -1,15 +1,17 @@
 """License scans by conditional compression.
 
-Blocks of text around license words are the candidates. Each is compressed with each template as a raw
-zstandard dictionary; the size that a template saves over no dictionary ranks the templates. Winners
-count only if their wording is there: the block's and the template's words are aligned, what differs is
-counted exactly, and the fewest differences win, then the rank. A confirmed notice is taken out of its block, and what is left on either side is
-scanned again, so notices that follow each other are all found. One pass, no shuffle.
+Blocks of text around license words are the candidates. A template counts only if its wording is there: the
+block's and the template's words are aligned, and what differs is counted exactly. Around each place so
+confirmed, the text is compressed with the template as a raw zstandard dictionary and without, by the same
+parameters. The fewest differences win, then the bytes saved; these only rank. A confirmed notice is taken
+out of its block, and what is left on either side is scanned again, so notices that follow each other are
+all found. One pass, no shuffle.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -89,11 +91,13 @@ def words(text: str) -> list[tuple[str, int, int]]:
 
 @lru_cache(1)
 def _templates():
+    longest = max(map(len, TEMPLATES.values()))
+    params = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=2 * REACH + longest, dict_size=longest)
     found = []
     for name, text in TEMPLATES.items():
         data = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        found.append((name, [w for w, _, _ in words(text)], zstandard.ZstdCompressor(level=LEVEL, dict_data=data)))
-    return zstandard.ZstdCompressor(level=LEVEL), found
+        found.append((name, [w for w, _, _ in words(text)], zstandard.ZstdCompressor(compression_params=params, dict_data=data)))
+    return zstandard.ZstdCompressor(compression_params=params), [(name, told, Counter(told), c) for name, told, c in found]
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
@@ -140,20 +144,23 @@ def scan_block(text: str, lo: int, hi: int) -> list[tuple[str, int, int, float,
         told = words(text[lo:hi])
         if len(told) < 3:
             continue
-        raw = text[lo:hi].lower().encode("utf-8", "surrogatepass")
-        alone = len(plain.compress(raw))
-        ranks = sorted(((alone - len(c.compress(raw)), len(w), name, w) for name, w, c in templates), key=lambda r: (-r[0], -r[1], r[2]))
         block = [w for w, _, _ in told]
-        winners = []
-        for rank, (saved, n, name, template) in enumerate(ranks):
-            if saved <= 0:
-                break
+        there, winners = Counter(block), []
+        for name, template, counts, c in templates:
+            n = len(template)
+            slack = int(n * SLACK)
+            # Without its words somewhere in the block, no place can hold the template.
+            if sum(min(many, there[w]) for w, many in counts.items()) < n - slack:
+                continue
             first, last, missing, added = align(block, template)
             # A version or another number must be the template's own.
-            if len(missing) <= int(n * SLACK) and added <= int(n * SLACK) and not any(c.isdigit() for w in missing for c in w):
-                winners.append(((len(missing) + added) / n, rank, name, first, last, saved / alone, len(missing), added))
+            if len(missing) <= slack and added <= slack and not any(c.isdigit() for w in missing for c in w):
+                raw = text[max(lo, lo + told[first][1] - REACH) : min(hi, lo + told[last - 1][2] + REACH)].lower().encode("utf-8", "surrogatepass")
+                alone = len(plain.compress(raw))
+                saved = alone - len(c.compress(raw))
+                winners.append(((len(missing) + added) / n, -saved, -n, name, first, last, saved / alone, len(missing), added))
         if winners:
-            _, _, name, first, last, saved, missing, added = min(winners)
+            *_, name, first, last, saved, missing, added = min(winners)
             start, end = lo + told[first][1], lo + told[last - 1][2]
             found.append((name, start, end, saved, missing, added))
             todo += [(lo, start), (end, hi)]
@@ -161,17 +168,20 @@ def scan_block(text: str, lo: int, hi: int) -> list[tuple[str, int, int, float,
 
 
 def scan_text(text: str | None) -> list[tuple[str, int, int, float, int, int]]:
-    """The notices of a whole text; one found twice, where blocks overlap, once."""
-    found = {}
-    for lo, hi in blocks(text or ""):
-        for hit in scan_block(text, lo, hi):
-            found.setdefault(hit[:3], hit)
-    return sorted(found.values(), key=lambda r: (r[1], r[2], r[0]))
+    """The notices of a whole text; one found twice, where blocks overlap, once, as the block that holds all of it has it."""
+    found: dict[str, list] = {}
+    for hit in sorted({hit for lo, hi in blocks(text or "") for hit in scan_block(text, lo, hi)}, key=lambda r: r[1:3]):
+        of = found.setdefault(hit[0], [])
+        if of and hit[1] < of[-1][2]:
+            of[-1] = min(of[-1], hit, key=lambda r: r[4] + r[5])
+        else:
+            of.append(hit)
+    return sorted((hit for of in found.values() for hit in of), key=lambda r: (r[1], r[2], r[0]))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id long, license string, start long, end long (code points), reduction double (of the
-    block's compressed size), missing int, added int (words): a row for each notice of each row of docs.
+    compressed size of the notice and REACH around it), missing int, added int (words): a row for each notice of each row of docs.
 
     Null, empty and notice-free texts give no row. Repeated rows and rows with a null doc_id give
     theirs; other columns are not read; an empty table gives no rows.

@@ -48,6 +48,28 @@ def test_long_texts_and_odd_characters():
     assert [odd[h[1] : h[2]] for h in licenses.scan_text(odd)] == ["All rights reserved"]
 
 
+def test_short_notices_in_long_blocks():
+    """A cue each 700 characters makes one long block; a dictionary saves nothing there, and still the notice is found."""
+    rng = random.Random(4)
+    vocabulary = prose(rng, 400).split()
+    for name in ("all-rights-reserved", "CC-BY-4.0", "MIT-notice", "GPL-3.0-notice"):
+        for size in (4_000, 8_000, 20_000, 60_000):
+            parts = [" ".join(rng.choices(vocabulary, k=105)) + " license " for _ in range(size // 700)]
+            parts.insert(rng.randrange(len(parts)), licenses.TEMPLATES[name] + " ")
+            text = "".join(parts)
+            hits = licenses.scan_text(text)
+            assert [h[0] for h in hits] == [name], (name, size)
+            assert text[hits[0][1] : hits[0][2]] == licenses.TEMPLATES[name].rstrip(".") and hits[0][3] > 0
+
+
+def test_notices_at_the_cuts_of_blocks():
+    rng = random.Random(5)
+    for lead in range(19_000, 20_600, 90):
+        filler = "licensed " + " licensed ".join(prose(rng, 60) for _ in range(70))
+        text = filler[:lead] + " " + licenses.TEMPLATES["MIT"] + " " + filler[:5000]
+        assert [(h[0], h[1], h[4], h[5]) for h in licenses.scan_text(text)] == [("MIT", lead + 1, 0, 0)], lead
+
+
 def test_rows(spark):
     rows = [(1, "All rights reserved.", "x"), (2, None, "x"), (3, "", None), (None, "All rights reserved.", None), (1, "All rights reserved.", "x"), (4, "nothing here", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, license string")
