@@ -176,6 +176,31 @@ def test_a_base_and_its_copies(spark):
     assert len(got) == 1001 and sum(c != 0 for c in got.values()) <= 2
 
 
+def test_labels_keep_no_pair_apart(spark):
+    """Real pairs in a large family just under the similarity, whose loose pairs look sure by their bits."""
+    from sheafline.llm.common import Scratch
+
+    rng = random.Random(23)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    places, taken, rows = range(5, 391, 6), [], []
+    while len(taken) < 100:
+        common, *private = (lambda p: (p[:2], p[2:5], p[5:]))(rng.sample(places, 8))
+        pair = [set(common + own) for own in private]
+        if any(len(p & q) > 1 for p in pair for q in taken):
+            continue
+        taken += pair
+        new = {at: f"x{rng.randrange(10**9)}" for at in common}
+        for own in private:
+            edits = new | {at: f"x{rng.randrange(10**9)}" for at in own}
+            rows.append((len(rows), " ".join(edits.get(i, w) for i, w in enumerate(base))))
+    sets = [shingles(t) for _, t in rows]
+    pairs = {(i, j) for i in range(100) for j in range(i + 1, 100) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert pairs == {(i, i + 1) for i in range(0, 100, 2)}
+    classes = spark.createDataFrame([(i, bytearray(H.wide_fingerprint(t))) for i, t in rows], "rep long, wide binary")
+    links = H.similar_links(classes, spark.createDataFrame(rows, "rep long, text string"), Scratch(spark, "t"))
+    assert {(min(r["u"], r["v"]), max(r["u"], r["v"])) for r in links.collect()} == pairs
+
+
 def test_families_are_decided_pair_by_pair(spark):
     """A family in one piece, in chunks of rows and in chunks of bytes: the same groups as by brute force."""
     from pyspark.sql import functions as F
