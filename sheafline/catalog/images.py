@@ -96,9 +96,10 @@ def numeric_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def image_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw images, made of the first bytes of pages, measured by the kernels in Arrow batches."""
-    raw = F.rpad(F.substring("html", 1, 4096).cast("binary"), F.lit(4096), F.lit(b"\xff"))
+    """Raw images, made of all bytes of pages, 64 to a row and the last row filled up, measured by the kernels in Arrow batches."""
+    raw = F.col("html").cast("binary")
+    height = F.greatest(F.ceil(F.octet_length("html") / 64), F.lit(1)).cast("int")
     images = table(spark, sf_dir, "pages").select(
-        "page_id", F.substring(raw, 1, 4096).alias("content"), F.lit(64).alias("width"), F.lit(64).alias("height"), F.lit(1).alias("channels")
+        "page_id", F.rpad(raw, height * 64, F.lit(b"\xff")).alias("content"), F.lit(64).alias("width"), height.alias("height"), F.lit(1).alias("channels")
     )
     return imaging.measure(images, "page_id").drop("regions")

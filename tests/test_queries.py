@@ -51,3 +51,20 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_images_hold_whole_pages(spark, tmp_path):
+    from sheafline.functions import imaging
+
+    pages = {1: "", 2: "é", 3: "ab" * 32, 4: "a" * 4096, 5: "a" * 4096 + "b" * 70, 6: "é" * 3000 + "a", 7: "<p>x</p>\n" * 5000}
+    spark.createDataFrame(list(pages.items()), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r for r in QUERIES["image_measures"](spark, str(tmp_path)).collect()}
+    assert set(got) == set(pages)
+    for page, html in pages.items():
+        raw = html.encode()
+        raw = raw.ljust(max(1, math.ceil(len(raw) / 64)) * 64, b"\xff")
+        told = imaging.measured(imaging.pixels(raw, 64, len(raw) // 64, 1))
+        names = [c.split()[0] for c in imaging.MEASURED.split(", ")]
+        expected = dict(zip(names, told))
+        for name in set(names) - {"regions"}:
+            assert plain(got[page][name]) == plain(expected[name]), (page, name)
