@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
+from difflib import Match, SequenceMatcher
 from functools import lru_cache
 
 import pyarrow as pa
@@ -118,15 +118,10 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return [(at, min(hi, at + step + longest)) for lo, hi in found for at in range(lo, hi, step)]
 
 
-def align(block: list[str], template: list[str]) -> tuple[int, int, list[str], int]:
-    """(first, last, missing, added) of the best place of the template in the block's words: the words
+def align(block: list[str], template: list[str], anchor: Match) -> tuple[int, int, list[str], int]:
+    """(first, last, missing, added) of the template's place around a common stretch: the block's words
     first..last-1 hold it but for the ``missing`` template words and with ``added`` others between."""
     n = len(template)
-    match = SequenceMatcher(None, block, template, autojunk=False)
-    # A long block holds the template near its longest common stretch.
-    anchor = match.find_longest_match(0, len(block), 0, n)
-    if not anchor.size:
-        return 0, 0, template, 0
     room = int(n * SLACK) + 1
     lo, hi = max(0, anchor.a - anchor.b - room), min(len(block), anchor.a - anchor.b + n + room)
     parts = [b for b in SequenceMatcher(None, block[lo:hi], template, autojunk=False).get_matching_blocks() if b.size]
@@ -135,6 +130,32 @@ def align(block: list[str], template: list[str]) -> tuple[int, int, list[str], i
     return first, last, [w for i, w in enumerate(template) if i not in hit], last - first - len(hit)
 
 
+def place(block: list[str], template: list[str], counts: Counter) -> tuple[int, int, list[str], int] | None:
+    """A place of the template in the block, as ``align`` has it, within SLACK and with all its numbers.
+
+    A long block holds the template near its longest common stretch; where it is not there, the words on
+    either side of the stretch are searched."""
+    n = len(template)
+    slack = int(n * SLACK)
+    todo = [(0, len(block))]
+    while todo:
+        lo, hi = todo.pop()
+        there = Counter(block[lo:hi])
+        # Without its words somewhere in the stretch, no place can hold the template.
+        if sum(min(many, there[w]) for w, many in counts.items()) < n - slack:
+            continue
+        anchor = SequenceMatcher(None, block, template, autojunk=False).find_longest_match(lo, hi, 0, n)
+        # What is missing and added cuts a place into 2 * slack + 1 stretches at most.
+        if anchor.size * (2 * slack + 1) < n - slack:
+            continue
+        first, last, missing, added = align(block, template, anchor)
+        # A version or another number must be the template's own.
+        if len(missing) <= slack and added <= slack and not any(c.isdigit() for w in missing for c in w):
+            return first, last, missing, added
+        todo += [(lo, anchor.a), (anchor.a + anchor.size, hi)]
+    return None
+
+
 def scan_block(text: str, lo: int, hi: int) -> list[tuple[str, int, int, float, int, int]]:
     """(license, start, end, reduction, missing, added) of the notices in a block, by start."""
     plain, templates = _templates()
@@ -145,20 +166,16 @@ def scan_block(text: str, lo: int, hi: int) -> list[tuple[str, int, int, float,
         if len(told) < 3:
             continue
         block = [w for w, _, _ in told]
-        there, winners = Counter(block), []
+        winners = []
         for name, template, counts, c in templates:
-            n = len(template)
-            slack = int(n * SLACK)
-            # Without its words somewhere in the block, no place can hold the template.
-            if sum(min(many, there[w]) for w, many in counts.items()) < n - slack:
+            found_at = place(block, template, counts)
+            if not found_at:
                 continue
-            first, last, missing, added = align(block, template)
-            # A version or another number must be the template's own.
-            if len(missing) <= slack and added <= slack and not any(c.isdigit() for w in missing for c in w):
-                raw = text[max(lo, lo + told[first][1] - REACH) : min(hi, lo + told[last - 1][2] + REACH)].lower().encode("utf-8", "surrogatepass")
-                alone = len(plain.compress(raw))
-                saved = alone - len(c.compress(raw))
-                winners.append(((len(missing) + added) / n, -saved, -n, name, first, last, saved / alone, len(missing), added))
+            first, last, missing, added = found_at
+            raw = text[max(lo, lo + told[first][1] - REACH) : min(hi, lo + told[last - 1][2] + REACH)].lower().encode("utf-8", "surrogatepass")
+            alone = len(plain.compress(raw))
+            saved = alone - len(c.compress(raw))
+            winners.append(((len(missing) + added) / len(template), -saved, -len(template), name, first, last, saved / alone, len(missing), added))
         if winners:
             *_, name, first, last, saved, missing, added = min(winners)
             start, end = lo + told[first][1], lo + told[last - 1][2]

@@ -62,6 +62,19 @@ def test_short_notices_in_long_blocks():
             assert text[hits[0][1] : hits[0][2]] == licenses.TEMPLATES[name].rstrip(".") and hits[0][3] > 0
 
 
+def test_a_broken_quotation_hides_no_notice():
+    """A longer unbroken stretch than the notice has must not be the only place that is tried."""
+    rng = random.Random(6)
+    told = licenses.TEMPLATES["MIT"].split()
+    quoted, changed = " ".join(told[: len(told) * 2 // 3]), list(told)
+    for at in range(15, len(told), 25):
+        changed[at] = "zzz"
+    for parts in ([quoted, " ".join(changed)], [" ".join(changed), quoted], [quoted, quoted, " ".join(changed), quoted]):
+        text = "".join(prose(rng, 45) + " licensed " + part + " " for part in parts)
+        hits = licenses.scan_text(text)
+        assert [h[0] for h in hits] == ["MIT"] and text[hits[0][1] :].startswith(" ".join(changed)[:200]), parts
+
+
 def test_notices_at_the_cuts_of_blocks():
     rng = random.Random(5)
     for lead in range(19_000, 20_600, 90):
