@@ -232,10 +232,16 @@ SIMILAR_WORDS, SIMILARITY = 5, 0.8
 #: 64-bit words of a wide fingerprint. Two of them are the companion that shards compare; the blocks that
 #: deal texts to shards are cut from the others.
 LANES, COMPANION = 16, 2
-#: Bits of a block, and of pairs at the similarity the share that agrees on some block at least.
-BLOCK_BITS, MEET = 12, 0.99
+#: Bits of a block, least and most; between, so many that a shard holds about SHARD_ROWS texts.
+BLOCK_BITS, MOST_BLOCK_BITS = 12, 16
+#: Of pairs at the similarity the share that agrees on some block at least.
+MEET = 0.999
 #: The part of the blocks that goes first; later shards leave out what these have linked already.
 FIRST = 1 / 4
+#: Pairs with a set of at most so many shingles are found exactly, without fingerprints.
+FEW = 64
+#: Shards whose counts may be broadcast: 24 bytes each.
+FEW_KEYS = 1 << 18
 #: Bytes of sets of shingles that a task compares at a time, on average; a longer set stands alone.
 SET_BYTES = 1 << 24
 _LANE = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
@@ -255,9 +261,8 @@ def shingle_hashes(text: str | None, words: int = SIMILAR_WORDS) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64)
 
 
-def wide_fingerprint(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
-    """LANES 64-bit words over the set of shingles; all zero for a text without words."""
-    hashes = shingle_hashes(text, words)
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """LANES 64-bit words over a set of shingles; all zero for none."""
     if not len(hashes):
         return bytes(8 * LANES)
     ones = np.zeros(64 * LANES, np.int64)
@@ -270,29 +275,47 @@ def wide_fingerprint(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
     return np.packbits(2 * ones > len(hashes), bitorder="little").tobytes()
 
 
+def set_bytes(hashes: np.ndarray) -> bytes:
+    """A set of shingles as sorted 32-bit hashes."""
+    return np.unique(hashes.astype(np.uint32)).tobytes()
+
+
+def block_bits(texts: int, shard_rows: int = SHARD_ROWS) -> int:
+    """The bits of a block for so many distinct texts."""
+    return min(MOST_BLOCK_BITS, max(BLOCK_BITS, math.ceil(math.log2(max(texts, 1) / shard_rows))))
+
+
 def block_count(similarity: float, bits: int = BLOCK_BITS) -> int:
     """How many blocks it takes for pairs at the similarity to agree on some block with the chance MEET."""
     agree = (1 - differing(similarity)) ** bits
-    wanted = math.ceil(math.log(1 - MEET) / math.log(1 - agree))
-    if wanted > (LANES - COMPANION) * (64 // bits):
-        raise ValueError("the fingerprints are too narrow for so many blocks")
-    return wanted
+    return math.ceil(math.log(1 - MEET) / math.log(1 - agree))
+
 
+def block_places(count: int, bits: int) -> np.ndarray:
+    """The places in a wide fingerprint of each block's bits, a row a block: the bits beside the companion
+    are dealt out in a mixed order, again and again, so blocks share bits only where there are too few."""
+    rng, own = np.random.default_rng(7), np.arange(64 * COMPANION, 64 * LANES)
+    each = len(own) // bits
+    rounds = [rng.permutation(own)[: each * bits].reshape(each, bits) for _ in range(-(-count // each))]
+    return np.concatenate(rounds)[:count]
 
-def _deal_blocks(blocks: range, bits: int = BLOCK_BITS):
-    each, per = np.arange(blocks.start, blocks.stop), 64 // bits
-    lane, shift = COMPANION + each // per, (each % per * bits).astype(np.uint64)
+
+def _deal_blocks(places: np.ndarray, first: int):
+    """A row for each text and block; ``first`` is the number of the first block."""
+    count, bits = places.shape
+    value, block = 1 << np.arange(bits, dtype=np.int64), np.arange(first, first + count, dtype=np.int64) << 32
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                wide = np.frombuffer(b"".join(part.column("wide").to_pylist()), np.uint64).reshape(-1, LANES)
-                keys = (wide[:, lane] >> shift) & np.uint64((1 << bits) - 1)
-                keys |= each.astype(np.uint64)[None, :] << np.uint64(32)
-                repeat = lambda x: pa.array(np.repeat(x, len(each)))
+                raw = np.frombuffer(b"".join(part.column("wide").to_pylist()), np.uint8).reshape(-1, 8 * LANES)
+                wide = raw.view(np.uint64)
+                one = np.unpackbits(raw, axis=1, bitorder="little")
+                keys = np.stack([one[:, p] @ value for p in places], axis=1) + block
+                repeat = lambda x: pa.array(np.repeat(x, count))
                 columns = [part.column("rep").to_numpy(), part.column("label").to_numpy(), *(wide[:, c].view(np.int64) for c in range(COMPANION))]
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), *map(repeat, columns)], ["key", "rep", "label", "f0", "f1"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *map(repeat, columns)], ["key", "rep", "label", "f0", "f1"])
 
     return scan
 
@@ -334,17 +357,6 @@ def _companion_links(similarity: float):
     return scan
 
 
-def _sets(words: int):
-    """(rep, hashes): the sorted 32-bit hashes of each text's set of shingles, as bytes."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "hashes"])
-
-    return scan
-
-
 def _similar(similarity: float):
     """A spanning forest of the pairs of sets whose common part is ``similarity`` of their union or more.
 
@@ -388,97 +400,173 @@ def _similar(similarity: float):
     return scan
 
 
-def with_wide_fingerprints(docs: DataFrame, id_column: str, text_column: str, words: int = SIMILAR_WORDS) -> DataFrame:
-    """(doc_id long, fp long, wide binary): both fingerprints of each row in one pass over the texts."""
+def _sets(words: int):
+    """(rep, hashes): the sorted 32-bit hashes of each text's set of shingles, as bytes."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [set_bytes(shingle_hashes(t.as_py(), words)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "hashes"])
+
+    return scan
+
+
+def _digest(text: Column) -> Column:
+    """SHA-256 of a text; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+_WIDE = "doc_id long, digest binary, fp long, wide binary, small binary"
+
+
+def with_wide_fingerprints(docs: DataFrame, id_column: str, text_column: str, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id long, digest binary, fp long, wide binary, small binary): both fingerprints of each row in one
+    pass over the texts. small is the set itself where a set of FEW shingles can be similar to it, else null."""
+    most = int(FEW / similarity)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, wide = np.empty(batch.num_rows, np.uint64), []
-            for i, text in enumerate(batch.column(1)):
+            own, wide, small = np.empty(batch.num_rows, np.uint64), [], []
+            for i, text in enumerate(batch.column(2)):
                 text = text.as_py()
                 own[i] = fingerprint(text)
-                wide.append(wide_fingerprint(text, words))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(own.view(np.int64)), pa.array(wide, pa.binary())], ["doc_id", "fp", "wide"]
-            )
+                hashes = shingle_hashes(text, words)
+                wide.append(wide_fingerprint(hashes))
+                small.append(set_bytes(hashes) if 0 < len(hashes) <= most else None)
+            columns = [batch.column(0), batch.column(1), pa.array(own.view(np.int64)), pa.array(wide, pa.binary()), pa.array(small, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "fp", "wide", "small"])
+
+    text = F.col(text_column)
+    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), _digest(text).alias("digest"), text.alias("text"))
+    return source.mapInArrow(scan, _WIDE)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rep, size, h) for each hash of each small set."""
+    for batch in batches:
+        sets = [np.frombuffer(h, np.uint32) for h in batch.column("small").to_pylist()]
+        if sets:
+            size = np.array([len(h) for h in sets])
+            rep = np.repeat(batch.column("rep").to_numpy(), size)
+            columns = [pa.array(rep), pa.array(np.repeat(size, size)), pa.array(np.concatenate(sets).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "size", "h"])
 
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return source.mapInArrow(scan, "doc_id long, fp long, wide binary")
+
+def small_links(sets: DataFrame, similarity: float = SIMILARITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """sets(rep, small), sorted 32-bit hashes as bytes -> links (u, v) whose closure joins every similar pair.
+
+    Exact. Of two similar sets of n and m hashes, the n - ceil(similarity * n) + 1 rarest of the one and the
+    like of the other have a hash in common. So each set goes, for each of these that any other set holds, to
+    the hash's shard, where the sets decide. A hash that very many sets hold is among the rarest only of sets
+    that consist of such hashes; its shard is cut into chunks.
+    """
+    each = sets.mapInArrow(_unpack, "rep long, size long, h long")
+    # What one set holds alone links nothing; the rest is few beside all hashes.
+    held = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ranked = each.join(held, "h").groupBy("rep").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "h"))).alias("common"))
+    # Hashes that one set holds alone come first in the order, so they take up places.
+    alone = F.col("size") - F.size("common")
+    places = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)) + 1 - alone
+    dealt = ranked.where(places > 0).select("rep", F.explode(F.slice(F.col("common.h"), F.lit(1), places.cast("int"))).alias("key"))
+    members = dealt.join(sets.select("rep", F.col("small").alias("hashes")), "rep")
+    return _linked(members, "rep", ["rep", "hashes"], _similar(similarity), shard_rows, weight=F.octet_length("hashes") / SET_BYTES)
 
 
 def similar_links(
     classes: DataFrame, texts: DataFrame, scratch: Scratch, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
-    """classes(rep, wide), each wide fingerprint once, and texts(rep, text) -> links (u, v) of similar reps.
+    """classes(rep, doc_id, digest, wide, small), each wide fingerprint once, and texts(doc_id, digest, text) ->
+    links (u, v) of similar reps.
 
     Companions give each shard a forest of who may be similar; the trees of all shards joined are families,
     and no two texts of different families met as near. In a family the sets of shingles decide every pair,
     and only pairs so decided link. The first blocks go ahead: what they joined are labels, and later shards
-    propose nothing within a label, so a large group of copies is not proposed again for each block.
+    propose nothing within a label, so a large group of copies is not proposed again for each block. Small
+    sets, whose bits tell too little, are found exactly beside that.
     """
     from sheafline.llm.components import connected_components
 
-    def proposed(labelled: DataFrame, blocks: range) -> DataFrame:
-        dealt = labelled.mapInArrow(_deal_blocks(blocks), "key long, rep long, label long, f0 long, f1 long")
-        # As many keys as blocks have values, whatever the corpus holds: at most 2**BLOCK_BITS a block.
-        return scratch.table(_linked(dealt, "rep", ["f0", "f1", "rep", "label"], _companion_links(similarity), shard_rows, few_keys=True).distinct())
+    bits = block_bits(classes.count(), shard_rows)
+    places = block_places(block_count(similarity, bits), bits)
+    few = len(places) << bits <= FEW_KEYS
+
+    def proposed(labelled: DataFrame, first: int, last: int) -> DataFrame:
+        dealt = labelled.mapInArrow(_deal_blocks(places[first:last], first), "key long, rep long, label long, f0 long, f1 long")
+        return scratch.table(_linked(dealt, "rep", ["f0", "f1", "rep", "label"], _companion_links(similarity), shard_rows, few_keys=few).distinct())
 
-    count = block_count(similarity)
-    ahead = max(1, round(count * FIRST))
-    first = proposed(classes.withColumn("label", F.col("rep")), range(ahead))
-    labels = connected_components(first, scratch).withColumnRenamed("node", "rep")
+    ahead = max(1, round(len(places) * FIRST))
+    early = proposed(classes.select("rep", "wide", F.col("rep").alias("label")), 0, ahead)
+    labels = connected_components(early, scratch).withColumnRenamed("node", "rep")
     labelled = classes.join(labels, "rep", "left").select("rep", "wide", F.coalesce("component", "rep").alias("label"))
-    near = first.union(proposed(labelled, range(ahead, count)))
-    families = scratch.table(connected_components(near, scratch).select(F.col("node").alias("rep"), F.col("component").alias("key")))
-    sets = (
-        texts.join(families.select("rep"), "rep", "left_semi").select("rep", "text").mapInArrow(_sets(words), "rep long, hashes binary")
-        .groupBy("rep").agg(F.min("hashes").alias("hashes"))
+    near = early.union(proposed(labelled, ahead, len(places)))
+    families = scratch.table(
+        connected_components(near, scratch).select(F.col("node").alias("rep"), F.col("component").alias("key"))
+        .join(classes.select("rep", "doc_id", "digest"), "rep")
     )
-    members = scratch.table(families.join(sets, "rep"))
-    return _linked(members, "rep", ["rep", "hashes"], _similar(similarity), shard_rows, weight=F.octet_length("hashes") / SET_BYTES)
+    sets = texts.join(families, ["doc_id", "digest"]).select("rep", "text").mapInArrow(_sets(words), "rep long, hashes binary")
+    # Repeated rows give a set again.
+    members = scratch.table(families.select("rep", "key").join(sets.groupBy("rep").agg(F.min("hashes").alias("hashes")), "rep"))
+    large = _linked(members, "rep", ["rep", "hashes"], _similar(similarity), shard_rows, weight=F.octet_length("hashes") / SET_BYTES)
+    return large.union(small_links(classes.where("small is not null").select("rep", "small"), similarity, shard_rows))
 
 
-def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id long, component_id long): the rows with an id by their group of near-duplicates.
+def similar_groups(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY,
+    scratch: Scratch | None = None,
+) -> DataFrame:
+    """(doc_id long, digest binary, component_id long, first binary): the rows with an id by their group of
+    near-duplicates. digest is the SHA-256 of the text, first that of the group's first text: of the smallest
+    doc_id, component_id, and of its texts, where it is repeated, that of the smallest digest.
 
     Two texts are linked if their fingerprints are within RADIUS bits, as ``near_duplicates`` has it, or if
-    their sets of shingles of ``words`` words are similar. Candidates are read off wide fingerprints, whose
-    differing bits follow the angle between the sets: BK-trees over companions of 128 bits give families, and
-    in a family the sets decide, so no pair under the similarity is linked and one at it is missed rarely.
-    Empty texts are a group. component_id is the smallest doc_id reachable.
+    their sets of shingles of ``words`` words are similar; an id links nothing. Candidates are read off wide
+    fingerprints, whose differing bits follow the angle between the sets: BK-trees over companions of 128 bits
+    give families, and in a family the sets decide, so no pair under the similarity is linked and one at it is
+    missed rarely, with FEW shingles or fewer never. Empty texts, null among them, are a group. What it writes
+    lies in ``scratch``, if given.
     """
     from sheafline.llm.components import connected_components
 
-    scratch = Scratch(docs.sparkSession, "similar")
-    rows = scratch.table(with_wide_fingerprints(docs, id_column, text_column, words).where("doc_id is not null"))
-    classes = scratch.table(rows.groupBy("wide").agg(F.min("doc_id").alias("rep")))
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    # A document stands for its class; a fingerprint's first document and its class are one group.
-    own = rows.join(classes, "wide").select("doc_id", "rep", "fp").join(distinct.select("fp", F.col("rep").alias("first")), "fp")
-    ties = own.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).union(own.select("doc_id", "first")).where("u != v")
-    texts = docs.select(F.col(id_column).cast("long").alias("rep"), F.col(text_column).alias("text"))
-    similar = similar_links(classes, texts, scratch, words, similarity)
-    links = similar.union(near_links(scratch.table(distinct))).union(ties)
-    components = connected_components(links, scratch)
-    return rows.select("doc_id").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", F.coalesce("component", "doc_id").alias("component_id")
+    scratch = scratch or Scratch(docs.sparkSession, "similar")
+    rows = scratch.table(with_wide_fingerprints(docs, id_column, text_column, words, similarity).where("doc_id is not null"))
+    # A class's number is fixed once it is written; ids may repeat with other texts.
+    classes = scratch.table(
+        rows.groupBy("wide").agg(F.min(F.struct("doc_id", "digest")).alias("first"), F.min("small").alias("small"))
+        .select(F.monotonically_increasing_id().alias("rep"), "first.doc_id", "first.digest", "wide", "small")
+    )
+    own = scratch.table(rows.join(classes.select("wide", "rep"), "wide").select("doc_id", "digest", "fp", "rep"))
+    distinct = scratch.table(own.groupBy("fp").agg(F.min("rep").alias("rep")))
+    ties = own.select("fp", "rep").distinct().join(distinct.withColumnRenamed("rep", "least"), "fp").select(F.col("rep").alias("u"), F.col("least").alias("v"))
+    text = F.col(text_column)
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), _digest(text).alias("digest"), text.alias("text"))
+    links = similar_links(classes, texts, scratch, words, similarity).union(near_links(distinct)).union(ties.where("u != v"))
+    components = connected_components(links, scratch).withColumnRenamed("node", "rep")
+    named = own.join(components, "rep", "left").select("doc_id", "digest", F.coalesce("component", "rep").alias("group"))
+    least = named.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("least"))
+    return named.join(least, "group").select(
+        "doc_id", "digest", F.col("least.doc_id").alias("component_id"), F.col("least.digest").alias("first")
     )
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """docs with one row of each of the ``similar_groups``, that of the smallest id; all columns as they are.
+    """docs with one row of each of the ``similar_groups``, its first text's; all columns as they are.
 
-    Of rows with one id a single one stays; rows with a null id all stay. Only ids are joined, so no column
-    of docs can clash.
+    Rows of one id with texts that are no near-duplicates all stay; of rows with the same id and text a single
+    one does. Rows with a null id all stay. Only ids are joined where an id has one text, so no column of docs
+    can clash.
     """
-    scratch = Scratch(docs.sparkSession, "kept")
-    found = scratch.table(similar_groups(docs, id_column, text_column))
+    scratch, inner = Scratch(docs.sparkSession, "kept"), Scratch(docs.sparkSession, "similar")
+    found = scratch.table(similar_groups(docs, id_column, text_column, scratch=inner))
+    inner.clear()
     # Tables of ids, written, so that Spark knows their sizes and shuffles the texts only if it must.
-    gone = scratch.table(found.where("doc_id != component_id").select(F.col("doc_id").alias(id_column)).distinct())
-    again = found.groupBy(F.col("doc_id").alias(id_column)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_column)
-    again = scratch.table(again)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    left = docs.join(gone, id_column, "left_anti").select(*columns)
-    once = left.join(again, id_column, "left_anti").select(*columns)
-    return once.union(left.join(again, id_column, "left_semi").select(*columns).dropDuplicates([id_column]))
+    again = scratch.table(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("digest") == F.col("first"))
+    gone = scratch.table(found.where(~stays).select("doc_id").distinct().join(again, "doc_id", "left_anti"))
+    first = scratch.table(found.where(stays).join(again, "doc_id", "left_semi").select("doc_id", "digest").distinct())
+    # The row travels as one struct, so no name of a column of docs can clash.
+    source = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[id_column].cast("long").alias("doc_id"))
+    once = source.join(gone, "doc_id", "left_anti").join(again, "doc_id", "left_anti")
+    more = source.join(again, "doc_id", "left_semi").withColumn("digest", _digest(F.col(f"row.`{text_column}`")))
+    more = more.join(first, ["doc_id", "digest"]).groupBy("doc_id", "digest").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return once.select("row").union(more.select("row")).select("row.*")

@@ -69,7 +69,7 @@ def brute_groups(rows):
     """(doc_id, text) rows -> doc_id -> smallest doc_id reachable by three bits or by similar sets."""
     fps, sets = [brute_fingerprint(t) for _, t in rows], [shingles(t) for _, t in rows]
     near = lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 3 or (sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
-    links = [[j for j in range(len(rows)) if rows[i][0] == rows[j][0] or near(i, j)] for i in range(len(rows))]
+    links = [[j for j in range(len(rows)) if near(i, j) or i == j] for i in range(len(rows))]
     label = [d for d, _ in rows]
     while True:
         new = [min(label[j] for j in links[i]) for i in range(len(rows))]
@@ -196,8 +196,10 @@ def test_labels_keep_no_pair_apart(spark):
     sets = [shingles(t) for _, t in rows]
     pairs = {(i, j) for i in range(100) for j in range(i + 1, 100) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
     assert pairs == {(i, i + 1) for i in range(0, 100, 2)}
-    classes = spark.createDataFrame([(i, bytearray(H.wide_fingerprint(t))) for i, t in rows], "rep long, wide binary")
-    links = H.similar_links(classes, spark.createDataFrame(rows, "rep long, text string"), Scratch(spark, "t"))
+    classes = [(i, i, bytearray(b"x"), bytearray(H.wide_fingerprint(H.shingle_hashes(t))), None) for i, t in rows]
+    classes = spark.createDataFrame(classes, "rep long, doc_id long, digest binary, wide binary, small binary")
+    texts = spark.createDataFrame([(i, bytearray(b"x"), t) for i, t in rows], "doc_id long, digest binary, text string")
+    links = H.similar_links(classes, texts, Scratch(spark, "t"))
     assert {(min(r["u"], r["v"]), max(r["u"], r["v"])) for r in links.collect()} == pairs
 
 
@@ -232,5 +234,69 @@ def test_wide_trees_and_blocks():
     found = {(int(q), int(n)) for qs, ns in H.BKTree(values).within(values, 25) for q, n in zip(qs, ns)}
     assert found == {(i, j) for i in range(len(values)) for j in range(len(values)) if H.distances(values[i : i + 1], values[j : j + 1])[0] <= 25}
     blocks = H.block_count(0.8)
-    assert 1 - (1 - (1 - H.differing(0.8)) ** H.BLOCK_BITS) ** blocks > 0.989
-    assert H.differing(1.0) == 0 and H.wide_fingerprint("") == bytes(128)
+    assert 1 - (1 - (1 - H.differing(0.8)) ** H.BLOCK_BITS) ** blocks > 0.9989
+    assert H.differing(1.0) == 0 and H.wide_fingerprint(H.shingle_hashes("")) == bytes(128)
+    assert [H.block_bits(n) for n in (0, 10**6, 1 << 26, 10**9, 10**12)] == [12, 12, 14, 16, 16]
+    for bits in range(12, 17):
+        places = H.block_places(H.block_count(0.8, bits), bits)
+        assert places.shape[1] == bits and places.min() >= 128 and places.max() < 1024
+        assert all(len(set(p.tolist())) == bits for p in places)
+
+
+def test_small_sets_are_found_exactly(spark):
+    """Random families of small texts, many with a common passage, at and around the similarity."""
+    rng = random.Random(24)
+    passage = [f"c{i}" for i in range(30)]
+    rows = []
+    for f in range(120):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(5, 60))]
+        if f % 2:
+            base = base + passage[: rng.randint(8, 30)]
+        for _ in range(4):
+            words = list(base)
+            for _ in range(rng.randint(0, 2)):
+                words[rng.choice([0, 1, 2, -1, -2, rng.randrange(len(words))])] = f"x{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(words[: len(words) - rng.randint(0, 3)])))
+    # 4 shingles inside 5 and 12 inside 15 are at 0.8 exactly.
+    for n, m in [(8, 9), (16, 19)] * 40:
+        words = [f"y{rng.randrange(10**9)}" for _ in range(m)]
+        rows += [(len(rows), " ".join(words[:n])), (len(rows) + 1, " ".join(words))]
+    sets = {d: shingles(t) for d, t in rows}
+    pairs = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    source = [(d, bytearray(H.set_bytes(H.shingle_hashes(t)))) for d, t in rows]
+    for shard_rows in (H.SHARD_ROWS, 7):
+        found = [(r["u"], r["v"]) for r in H.small_links(spark.createDataFrame(source, "rep long, small binary"), shard_rows=shard_rows).collect()]
+        assert {(min(p), max(p)) for p in found} <= set(pairs)
+        told, real = Forest(len(rows)), Forest(len(rows))
+        told.join(*np.array(found).T)
+        real.join(*np.array(pairs).T)
+        assert told.root.tolist() == real.root.tolist() and len(pairs) > 200
+    got = {r["doc_id"]: r["component_id"] for r in H.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_groups(rows)
+
+
+def test_crowds_just_under_the_similarity(spark):
+    """Groups whose pairs lie just under 0.8, a few at or over it: those are all found."""
+    rng = random.Random(25)
+    rows = []
+    for _ in range(6):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(900)]
+        for _ in range(40):
+            words = list(base)
+            for at in rng.sample(range(900), 12):
+                words[at] = f"x{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(words)))
+    sets = [shingles(t) for _, t in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if i // 40 == j // 40 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    got = {r["doc_id"]: r["component_id"] for r in H.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert pairs and sum(got[i] == got[j] for i, j in pairs) >= 0.99 * len(pairs)
+
+
+def test_one_id_with_several_texts(spark):
+    """Only near-duplicates go: an id with different texts keeps them, and a repeated row goes once."""
+    words = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(1, words("a"), 1), (1, words("b"), 2), (2, words("c"), 3), (2, words("c"), 3), (3, words("b"), 4), (3, words("d"), 5), (None, words("a"), 6), (4, None, 7), (4, "", 8), (5, " ", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest int")
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in H.keep_one(docs).collect())
+    assert got == sorted([(0, words("a")), (1, words("a")), (1, words("b")), (2, words("c")), (3, words("d")), (4, "")])
+    assert H.keep_one(docs).columns == docs.columns and H.keep_one(docs.limit(0)).count() == 0
