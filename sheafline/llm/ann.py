@@ -28,7 +28,6 @@ NEIGHBOURS = 10
 EVERY = 100
 #: Of the true neighbours of held-out rows; the table's own recall comes out higher, as it is denser.
 RECALL = 0.94
-HELD_LEAST = 1000
 BRANCHES = 8
 LEAF_ROWS = 64
 BLOCK_ROWS = 8192
@@ -110,7 +109,7 @@ def calibrate(tree: Tree, held: np.ndarray, neighbours: int, recall: float) -> f
     leaf_of = tree.file(held)
     sizes = dict(zip(*(a.tolist() for a in np.unique(leaf_of, return_counts=True))))
     need = []
-    for q in np.unique(np.linspace(0, len(held) - 1, CALIBRATION_QUERIES).astype(int)):
+    for q in np.unique(np.linspace(0, len(held) - 1, CALIBRATION_QUERIES).astype(int)) if len(held) else ():
         gap = held - held[q]
         far = (gap * gap).sum(1)
         far[q] = np.inf
@@ -120,7 +119,7 @@ def calibrate(tree: Tree, held: np.ndarray, neighbours: int, recall: float) -> f
             count += sizes.get(leaf, 0)
             seen[leaf] = count
         need += [seen[leaf_of[i]] for i in near]
-    if not need:
+    if not need:  # fewer than two rows held out: all leaves
         return 1.0
     return float(min(1.0, np.quantile(need, recall) / len(held)))
 
@@ -206,7 +205,8 @@ def search(
     Queries are the rows whose id is divisible by ``every``, candidates every row of another id;
     nearness is Euclidean distance on the original vectors, ties go to the smaller id. Null, zero and
     non-finite vectors, vectors with a null component, of another dimension than most or with a null id
-    take no part. A repeated row counts once. Other columns are not read. An empty table, or one
+    take no part. A repeated row counts once; an id with several vectors asks for each of them, a ranking a
+    vector, and rows of its own id are no candidates. Other columns are not read. An empty table, or one
     without queries, gives an empty result.
     """
     spark = vectors.sparkSession
@@ -215,17 +215,17 @@ def search(
     sample = fit_sample(rows)
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    # Half of the sample, dealt by its hash order, is held out; a small one serves for both.
-    parts = (sample[::2], sample[1::2]) if len(sample) >= 2 * HELD_LEAST else (sample, sample)
-    tree = Tree(parts[0])
-    share = calibrate(tree, parts[1], neighbours, recall)
+    # Half of the sample, dealt by its hash order, is held out.
+    tree = Tree(sample[::2])
+    share = calibrate(tree, sample[1::2], neighbours, recall)
     # Of equal vectors only the smallest ids can be among the nearest, one more than asked for as the
     # query may be one of them; and equal queries are asked once.
     by_id = Window.partitionBy("vec").orderBy("id")
     useful = rows.withColumn("nth", F.row_number().over(by_id)).where(F.col("nth") <= neighbours + 1)
     filed = scratch.table(useful.mapInArrow(_file(tree), "leaf long, id long, vec binary"))
     queries = rows.where(F.pmod("id", F.lit(every)) == 0)
-    askers = scratch.table(queries.groupBy("vec").agg(F.min("id").alias("asker")))
+    # An id may have several vectors, so a vector's number, fixed once it is written, asks for it.
+    askers = scratch.table(queries.select("vec").distinct().withColumn("asker", F.monotonically_increasing_id()))
     sizes = {r["leaf"]: r["count"] for r in filed.groupBy("leaf").count().collect()}
     total, asked = sum(sizes.values()), askers.count()
     # A row for each leaf of the tree, whose sample is bounded.
@@ -257,7 +257,7 @@ def search(
     nearest = Window.partitionBy("asker").orderBy("score", "vec_id")
     kept = found.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= neighbours + 1)
     members = queries.join(askers, "vec").select(F.col("id").alias("query_id"), "asker")
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    best = Window.partitionBy("query_id", "asker").orderBy("score", "vec_id")
     return (
         members.join(kept, "asker")
         .where("vec_id != query_id")
