@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sheafline.llm.common import Forest, Scratch, runs
 from sheafline.llm.components import connected_components
-from sheafline.llm.vectors import batches_of, fit_sample, kmeans, matrix, packed, stored_type, unit, unpacked, usable
+from sheafline.llm.vectors import batches_of, fit_sample, kmeans, matrix, packed, stored_type, tagged, unit, unpacked
 
 THRESHOLD = 0.95
 BLOCK_ROWS = 16_384
@@ -128,19 +128,21 @@ def near_duplicates(
 
     Links join vectors of cosine ``threshold`` or more, all of them. Null, zero and non-finite vectors,
     vectors with a null component, of another dimension than most or with a null id link with nothing
-    (n_links 0, component_id their own id). Repeated rows are vectors of their own that link with each
-    other. Other columns are not read. An empty table gives an empty result.
+    (n_links 0, component_id their own id, kept), also where another row of the same id has a usable vector.
+    Repeated rows are vectors of their own that link with each other, and each returns. Other columns are not
+    read. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "vectors")
-    rows = usable(vectors, id_column, vector_column)
+    every = tagged(vectors, id_column, vector_column)
+    rows = every.where("takes_part").select("id", "vec")
     classes = scratch.table(rows.groupBy("vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")))
-    every = vectors.select(F.col(id_column).cast("long").alias("vec_id"))
+    rest = every.where("not takes_part").select(
+        F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")
+    )
     sample = fit_sample(classes)
     if not len(sample):
-        return every.select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
-        )
+        return rest.withColumn("kept", F.lit(True))
     total = classes.count()
     centres = kmeans(unit(sample), int(min(MAX_CELLS, max(1, -(-total // block_rows)))), spherical=True)
     found = classes.select("vec").mapInArrow(_home_counts(centres), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
@@ -168,9 +170,8 @@ def near_duplicates(
         )
     )
     members = rows.join(told, rows["vec"] == told["_vec"]).select(F.col("id"), "_links", "_component")
-    rest = every.join(rows.select("id").distinct(), F.col("vec_id") == F.col("id"), "left_anti")
     return (
         members.select(F.col("id").alias("vec_id"), F.col("_links").alias("n_links"), F.col("_component").alias("component_id"))
-        .union(rest.select("vec_id", F.lit(0).cast("long"), "vec_id"))
+        .union(rest)
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
     )

@@ -13,16 +13,20 @@ from pyspark.sql import functions as F
 FIT_ROWS = 20_000
 
 
-def usable(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
-    """(id long, vec array<double>) of the rows that take part: id not null, no null or non-finite
-    component, not all zero, and of the table's commonest dimension (of two as common, the larger)."""
-    rows = vectors.select(
-        F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vec")
-    ).where("id is not null and size(vec) > 0")
+def tagged(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
+    """(id long, vec array<double>, takes_part boolean) of every row: a row takes part if its id is not null
+    and its vector has no null or non-finite component, is not all zero, and is of the commonest dimension
+    among such rows (of two as common, the larger)."""
+    rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = rows.where(finite & F.exists("vec", lambda x: x != 0))
-    common = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return rows.where(F.size("vec") == (common["d"] if common else 0))
+    sound = F.col("id").isNotNull() & (F.size("vec") > 0) & finite & F.exists("vec", lambda x: x != 0)
+    common = rows.where(sound).groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    return rows.withColumn("takes_part", F.coalesce(sound & (F.size("vec") == (common["d"] if common else 0)), F.lit(False)))
+
+
+def usable(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
+    """(id long, vec array<double>) of the rows that take part, as ``tagged`` has it."""
+    return tagged(vectors, id_column, vector_column).where("takes_part").select("id", "vec")
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dimension: int) -> np.ndarray:

@@ -62,6 +62,13 @@ def test_repeated_rows_and_empty_tables(spark):
     assert embedding_dedup.near_duplicates(table(spark, [(4, None)])).collect()[0]["component_id"] == 4
 
 
+def test_one_id_with_usable_and_unusable_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, None), (2, [0.0, 1.0]), (3, None), (3, [0.0, float("nan")]), (5, [1.0, 0.1]), (5, [1.0, 0.1, 0.0])]
+    got = embedding_dedup.near_duplicates(table(spark, rows)).collect()
+    told = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got)
+    assert told == [(1, 0, 1, True), (1, 1, 1, True), (2, 0, 2, True), (3, 0, 3, True), (3, 0, 3, True), (5, 0, 5, True), (5, 1, 1, False)]
+
+
 def test_no_pair_meets_twice_or_never(spark):
     """Vectors spread evenly, so that every cell borders on every other."""
     rng = np.random.default_rng(7)
@@ -107,6 +114,8 @@ def test_ties_and_few_rows(spark):
     assert few == [(1, 1, 1.0), (2, 2, 3.0)]
     assert ann.search(table(spark, [])).count() == 0 and ann.search(table(spark, [(1, [1.0])])).count() == 0
     assert ann.search(table(spark, [(100, [1.0])])).count() == 0
+    twice = ann.search(table(spark, [(100, [0.0, 1.0]), (100, [9.0, 1.0]), (1, [0.0, 2.0]), (2, [9.0, 3.0])])).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in twice) == [(100, 1, 1), (100, 1, 2), (100, 2, 1), (100, 2, 2)]
 
 
 def test_best_bin_first_lists_all_leaves():
