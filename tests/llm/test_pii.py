@@ -49,7 +49,7 @@ def test_base_spans(spark):
         written = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r["base_sha256"] == hashlib.sha256(written.encode()).hexdigest(), repr(texts[r["doc_id"]])[:100]
         assert [r[f"n_{k}"] for k in PATTERNS] == [sum(w[0] == k for w in want) for k in PATTERNS]
-        assert set(written.split(",")) <= set(r["spans"].split(","))
+        assert set(filter(None, written.split(","))) <= set(r["spans"].split(","))
     assert pii.find(docs.limit(0)).count() == 0
 
 
@@ -111,3 +111,80 @@ def test_no_python_on_the_executors(spark):
     for df in (pii.find(docs), pii.redact(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_very_many_spans(spark):
+    """A text of 1 MB that is all addresses: no list grows by one span at a time."""
+    import time
+
+    n = 150_000
+    docs = spark.createDataFrame([(1, "a@b.co " * n)], "doc_id long, text string")
+    pii.fitted(spark)
+    began = time.monotonic()
+    row = pii.find(docs).collect()[0]
+    assert time.monotonic() - began < 20
+    written = ",".join(f"email:{7 * i}:{7 * i + 6}" for i in range(n))
+    assert row["n_email"] == n and row["base_sha256"] == hashlib.sha256(written.encode()).hexdigest()
+    began = time.monotonic()
+    assert pii.redact(docs).collect()[0]["text"] == "[EMAIL] " * n
+    assert time.monotonic() - began < 30
+
+
+def test_running_folds_over_chunks(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(n, list(range(n))) for n in (0, 1, 63, 64, 65, 128, 1000)]
+    df = spark.createDataFrame(rows, "n int, x array<bigint>")
+    told = pii._running(F.col("x"), F.lit(0).cast("long"), lambda a, x: a + x, lambda a, x: a * 2 + x, "bigint")
+    for r in df.select("n", "x", told.alias("t")).collect():
+        assert r["t"] == [2 * sum(range(i)) + i for i in range(r["n"])]
+
+
+def test_overlaps_are_taken_by_score(spark):
+    """Against plain Python, chains among them: a span that loses to one that itself loses is not lost."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    rows = [(0, [(3.0, 0, 0, 10), (2.0, 1, 8, 20), (1.0, 2, 18, 30)])]
+    for i in range(1, 200):
+        spans = [(float(rng.randint(0, 4)), rng.randrange(4), a, a + rng.randint(1, 12)) for a in rng.choices(range(90), k=rng.randint(1, 30))]
+        rows.append((i, spans))
+    df = spark.createDataFrame(rows, "i int, over array<struct<score:double,kind:int,start:bigint,end:bigint>>")
+    for r in df.select("i", "over", pii._taken(F.col("over")).alias("t")).collect():
+        want = []
+        for s in sorted(map(tuple, r["over"]), key=lambda s: (-s[0], s[2], s[1], s[3])):
+            if not any(d[2] < s[3] and s[2] < d[3] for d in want):
+                want.append(s)
+        assert sorted(map(tuple, r["t"])) == sorted(want)
+        assert r["i"] or len(want) == 2
+
+
+def test_free_proposals(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    some = lambda k: [(a, a + rng.randint(1, 9)) for a in rng.choices(range(80), k=rng.randint(0, k))]
+    rows = [(i, some(8), [(*s, 1, 0, "h", "b", "a") for s in some(8)]) for i in range(200)]
+    df = spark.createDataFrame(rows, f"i int, base array<struct<start:bigint,end:bigint>>, p array<struct<{pii._PLACE}>>")
+    for r in df.select("base", "p", pii._free(F.col("base"), F.col("p")).alias("f")).collect():
+        want = [tuple(s) for s in r["p"] if not any(b[0] < s[1] and s[0] < b[1] for b in r["base"])]
+        assert sorted(map(tuple, r["f"])) == sorted(want)
+
+
+def test_held_out_precision_and_recall(spark):
+    """On snippets of another seed, which neither the trees nor the thresholds have seen."""
+    trees, edges = pii.fitted(spark)
+    x, y, kind, _ = pii.features_of(spark, pii.snippets(1600, seed=77))
+    picked = pii.log_odds(trees, x) >= np.array(edges)[kind]
+    figures = {pii.KINDS[k]: (y[picked & (kind == k)].mean(), picked[(y > 0) & (kind == k)].mean()) for k in range(4)}
+    print(figures)
+    assert y[picked].mean() >= 0.95 and all(p >= 0.93 for p, _ in figures.values())
+    assert picked[y > 0].mean() >= 0.6
+
+
+def test_documents_without_private_data_are_left_alone(spark):
+    """Documents whose base spans are cut out: what is proposed in the rest is nothing personal."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = pii.find(docs).where("spans != ''").collect()
+    added = sum(len(r["spans"].split(",")) - sum(r[f"n_{k}"] for k in pii.KINDS) for r in rows)
+    assert rows and added <= 0.02 * docs.count()
