@@ -1,19 +1,21 @@
 """License scans by conditional compression.
 
-Blocks of text around license words are the candidates. A template counts only if its wording is there: the
-block's and the template's words are aligned, and what differs is counted exactly. Around each place so
-confirmed, the text is compressed with the template as a raw zstandard dictionary and without, by the same
-parameters. The fewest differences win, then the bytes saved; these only rank. A confirmed notice is taken
-out of its block, and what is left on either side is scanned again, so notices that follow each other are
-all found. One pass, no shuffle.
+A license word is a cue, and the text around it a candidate block. The block is compressed with each
+template as a raw zstandard dictionary, and the templates are ranked by the size that is left. In that
+order their wording is held against the text at the cue, word by word; the first template whose
+differences are few enough is the notice, and the differences are reported exactly. Text that a notice
+holds is not looked at again. Blocks have a bounded size, so a text costs as much as it has cues. One
+pass, no shuffle.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from difflib import Match, SequenceMatcher
+from dataclasses import dataclass
+from difflib import SequenceMatcher
 from functools import lru_cache
 
 import pyarrow as pa
@@ -72,12 +74,10 @@ TEMPLATES = {
 }
 #: Words of which every template holds one.
 CUES = ("licen", "copyright", "permission", "warrant", "redistribut", "rights reserved", "gnu general", "mozilla public")
-#: Characters between cues that belong to one block, and taken on either side of it.
+#: Characters on either side of a cue that make a block.
 REACH = 400
 #: Words of a template that may be missing or replaced, and words that may stand between, in its length.
 SLACK = 0.1
-#: Blocks are cut at this many characters with an overlap of the longest template.
-BLOCK_CHARS = 20_000
 #: From this level zstandard parses optimally, so that a notice of three words already saves bytes.
 LEVEL = 15
 
@@ -89,111 +89,91 @@ def words(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
 
 
+@dataclass
+class Template:
+    name: str
+    words: list[str]
+    counts: Counter
+    places: dict[str, list[int]]
+    slack: int
+    compressor: zstandard.ZstdCompressor
+
+
 @lru_cache(1)
-def _templates():
+def _templates() -> tuple[zstandard.ZstdCompressor, list[Template]]:
     longest = max(map(len, TEMPLATES.values()))
     params = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=2 * REACH + longest, dict_size=longest)
     found = []
     for name, text in TEMPLATES.items():
         data = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        found.append((name, [w for w, _, _ in words(text)], zstandard.ZstdCompressor(compression_params=params, dict_data=data)))
-    return zstandard.ZstdCompressor(compression_params=params), [(name, told, Counter(told), c) for name, told, c in found]
+        told = [w for w, _, _ in words(text)]
+        places = defaultdict(list)
+        for at, word in enumerate(told):
+            places[word].append(at)
+        compressor = zstandard.ZstdCompressor(compression_params=params, dict_data=data)
+        found.append(Template(name, told, Counter(told), places, int(len(told) * SLACK), compressor))
+    return zstandard.ZstdCompressor(compression_params=params), found
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
-    """Stretches around the license words of a text, as (start, end)."""
+def cues(text: str) -> list[int]:
+    """Where license words start."""
     lower = text.lower()
     if len(lower) != len(text):  # some capitals lower to two characters
         lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    if not any(c in lower for c in CUES):
-        return []
-    found: list[list[int]] = []
-    for m in _CUE.finditer(lower):
-        lo, hi = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if found and lo <= found[-1][1]:
-            found[-1][1] = hi
-        else:
-            found.append([lo, hi])
-    step, longest = BLOCK_CHARS, max(map(len, TEMPLATES.values())) * 2
-    return [(at, min(hi, at + step + longest)) for lo, hi in found for at in range(lo, hi, step)]
-
-
-def align(block: list[str], template: list[str], anchor: Match) -> tuple[int, int, list[str], int]:
-    """(first, last, missing, added) of the template's place around a common stretch: the block's words
-    first..last-1 hold it but for the ``missing`` template words and with ``added`` others between."""
-    n = len(template)
-    room = int(n * SLACK) + 1
-    lo, hi = max(0, anchor.a - anchor.b - room), min(len(block), anchor.a - anchor.b + n + room)
-    parts = [b for b in SequenceMatcher(None, block[lo:hi], template, autojunk=False).get_matching_blocks() if b.size]
-    hit = {b.b + i for b in parts for i in range(b.size)}
-    first, last = lo + parts[0].a, lo + parts[-1].a + parts[-1].size
-    return first, last, [w for i, w in enumerate(template) if i not in hit], last - first - len(hit)
-
-
-def place(block: list[str], template: list[str], counts: Counter) -> tuple[int, int, list[str], int] | None:
-    """A place of the template in the block, as ``align`` has it, within SLACK and with all its numbers.
-
-    A long block holds the template near its longest common stretch; where it is not there, the words on
-    either side of the stretch are searched."""
-    n = len(template)
-    slack = int(n * SLACK)
-    todo = [(0, len(block))]
-    while todo:
-        lo, hi = todo.pop()
-        there = Counter(block[lo:hi])
-        # Without its words somewhere in the stretch, no place can hold the template.
-        if sum(min(many, there[w]) for w, many in counts.items()) < n - slack:
-            continue
-        anchor = SequenceMatcher(None, block, template, autojunk=False).find_longest_match(lo, hi, 0, n)
-        # What is missing and added cuts a place into 2 * slack + 1 stretches at most.
-        if anchor.size * (2 * slack + 1) < n - slack:
-            continue
-        first, last, missing, added = align(block, template, anchor)
-        # A version or another number must be the template's own.
-        if len(missing) <= slack and added <= slack and not any(c.isdigit() for w in missing for c in w):
-            return first, last, missing, added
-        todo += [(lo, anchor.a), (anchor.a + anchor.size, hi)]
-    return None
+    return [m.start() for m in _CUE.finditer(lower)] if any(c in lower for c in CUES) else []
 
 
-def scan_block(text: str, lo: int, hi: int) -> list[tuple[str, int, int, float, int, int]]:
-    """(license, start, end, reduction, missing, added) of the notices in a block, by start."""
-    plain, templates = _templates()
-    found, todo = [], [(lo, hi)]
-    while todo:
-        lo, hi = todo.pop()
-        told = words(text[lo:hi])
-        if len(told) < 3:
+def confirm(block: list[str], at: int, template: Template) -> tuple[int, int, list[str], int] | None:
+    """(first, last, missing, added) of the template's wording around the word at ``at``: the block's words
+    first..last-1 hold it but for the ``missing`` template words and with ``added`` others between. Of several
+    places that of the fewest differences; None where there are more than the slack, or a missing word holds
+    a digit, as a version must be the template's own."""
+    n, slack, found = len(template.words), template.slack, []
+    for place in template.places.get(block[at], ()):
+        lo, hi = max(0, at - place - slack), min(len(block), at - place + n + slack)
+        there = Counter(block[lo:hi])
+        if sum(min(many, there[w]) for w, many in template.counts.items()) < n - slack:
             continue
-        block = [w for w, _, _ in told]
-        winners = []
-        for name, template, counts, c in templates:
-            found_at = place(block, template, counts)
-            if not found_at:
-                continue
-            first, last, missing, added = found_at
-            raw = text[max(lo, lo + told[first][1] - REACH) : min(hi, lo + told[last - 1][2] + REACH)].lower().encode("utf-8", "surrogatepass")
-            alone = len(plain.compress(raw))
-            saved = alone - len(c.compress(raw))
-            winners.append(((len(missing) + added) / len(template), -saved, -len(template), name, first, last, saved / alone, len(missing), added))
-        if winners:
-            *_, name, first, last, saved, missing, added = min(winners)
-            start, end = lo + told[first][1], lo + told[last - 1][2]
-            found.append((name, start, end, saved, missing, added))
-            todo += [(lo, start), (end, hi)]
-    return sorted(found, key=lambda r: (r[1], r[2]))
+        parts = [p for p in SequenceMatcher(None, block[lo:hi], template.words, autojunk=False).get_matching_blocks() if p.size]
+        hit = {p.b + i for p in parts for i in range(p.size)}
+        first, last = lo + parts[0].a, lo + parts[-1].a + parts[-1].size
+        missing, added = [w for i, w in enumerate(template.words) if i not in hit], last - first - len(hit)
+        if first <= at < last and len(missing) <= slack and added <= slack and not any(c.isdigit() for w in missing for c in w):
+            found.append((len(missing) + added, first, last, missing, added))
+    return min(found)[1:] if found else None
 
 
 def scan_text(text: str | None) -> list[tuple[str, int, int, float, int, int]]:
-    """The notices of a whole text; one found twice, where blocks overlap, once, as the block that holds all of it has it."""
-    found: dict[str, list] = {}
-    for hit in sorted({hit for lo, hi in blocks(text or "") for hit in scan_block(text, lo, hi)}, key=lambda r: r[1:3]):
-        of = found.setdefault(hit[0], [])
-        if of and hit[1] < of[-1][2]:
-            of[-1] = min(of[-1], hit, key=lambda r: r[4] + r[5])
-        else:
-            of.append(hit)
-    return sorted((hit for of in found.values() for hit in of), key=lambda r: (r[1], r[2], r[0]))
+    """(license, start, end, reduction, missing, added) of the notices of a whole text, by start; no two overlap."""
+    text = text or ""
+    plain, templates = _templates()
+    found, told, starts, done = [], [], [], 0
+    packed = lambda lo, hi: text[max(done, lo) : hi].lower().encode("utf-8", "surrogatepass")
+    for cue in cues(text):
+        if cue < done:
+            continue
+        if not told:
+            told = words(text)
+            starts, block, done_word = [w[1] for w in told], [w[0] for w in told], 0
+        at = bisect_right(starts, cue) - 1
+        if at < done_word:
+            continue
+        raw = packed(cue - REACH, cue + REACH)
+        ranked = sorted(templates, key=lambda t: (len(t.compressor.compress(raw)), -len(t.words), t.name))
+        reach = max(len(t.words) + t.slack for t in templates)
+        first_word = max(done_word, at - reach)
+        near = block[first_word : at + reach]
+        for template in ranked:
+            place = confirm(near, at - first_word, template)
+            if place:
+                first, last, missing, added = place
+                start, end = starts[first_word + first], told[first_word + last - 1][2]
+                around = packed(start - REACH, end + REACH)
+                alone = len(plain.compress(around))
+                found.append((template.name, start, end, (alone - len(template.compressor.compress(around))) / alone, len(missing), added))
+                done, done_word = end, first_word + last
+                break
+    return found
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
-"""License scans: planted notices are found whole, near misses are not, edge cases."""
+"""License scans: planted notices are found whole, near misses are not, edge cases; brute force."""
 
 import random
+import time
 
 from sheafline.llm import licenses
 
@@ -89,3 +90,57 @@ def test_rows(spark):
     got = [(r["doc_id"], r["license"], r["start"], r["end"], r["missing"], r["added"]) for r in licenses.scan(docs).collect()]
     assert sorted(got, key=str) == sorted([(1, "all-rights-reserved", 0, 19, 0, 0)] * 2 + [(None, "all-rights-reserved", 0, 19, 0, 0)], key=str)
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def brute(text):
+    """(license, first word, last word) of every place whose words hold a template but for its slack."""
+    block, found = [w for w, _, _ in licenses.words(text)], set()
+    for name, wording in licenses.TEMPLATES.items():
+        told = [w for w, _, _ in licenses.words(wording)]
+        slack = int(len(told) * licenses.SLACK)
+        if len(told) > 20:
+            continue
+        for lo in range(len(block)):
+            # Lengths of the longest common subsequence of the words from lo and the template.
+            row = [0] * (len(told) + 1)
+            for hi in range(lo, min(len(block), lo + len(told) + slack)):
+                old, row = row, [0] * (len(told) + 1)
+                for j, w in enumerate(told, 1):
+                    row[j] = old[j - 1] + 1 if block[hi] == w else max(old[j], row[j - 1])
+                size, common = hi - lo + 1, row[-1]
+                kept = [w for w in told if w in block[lo : hi + 1]]
+                whole = all(w in kept for w in told if any(c.isdigit() for c in w))
+                if len(told) - common <= slack and size - common <= slack and whole:
+                    found.add((name, lo, hi + 1))
+    return found
+
+
+def test_against_brute_force():
+    """Edited short notices: each hit is a place that brute force allows, and none of its places is left over."""
+    rng = random.Random(14)
+    short = sorted(n for n, t in licenses.TEMPLATES.items() if len(licenses.words(t)) <= 20)
+    for _ in range(150):
+        told = []
+        for _ in range(rng.randint(1, 5)):
+            told += prose(rng, rng.randint(0, 6)).split()
+            notice = licenses.TEMPLATES[rng.choice(short)].split()
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                at = rng.randrange(len(notice))
+                notice[at : at + rng.randint(0, 1)] = rng.choice([[], ["zzz"]])
+            told += notice
+        text = " ".join(told)
+        starts = [s for _, s, _ in licenses.words(text)]
+        places = brute(text)
+        hits = [(n, starts.index(s), starts.index(s) + len(licenses.words(text[s:e]))) for n, s, e, *_ in licenses.scan_text(text)]
+        assert all(any(n == name and lo <= a and b <= hi for name, lo, hi in places) for n, a, b in hits), text
+        for name, lo, hi in places:
+            # Every template but one word may hold a cue; without any no block stands around it.
+            span = text[starts[lo] : starts[hi - 1] + len(licenses.words(text)[hi - 1][0])]
+            assert any(a < hi and lo < b for _, a, b in hits) or not licenses.cues(span), (name, text)
+
+
+def test_many_notices_cost_as_much_as_their_number():
+    scan = lambda n: (time.process_time(), len(licenses.scan_text("All rights reserved. " * n)), time.process_time())
+    scan(10)
+    (a, n, b), (c, m, d) = scan(300), scan(2400)
+    assert (n, m) == (300, 2400) and d - c < 16 * (b - a)
