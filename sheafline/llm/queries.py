@@ -26,10 +26,20 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
 
 
+#: The tools that the calls of the conversations may name: argument -> (JSON type, required).
+TOOLS = {
+    "look_up": {"query": ("string", True), "limit": ("integer", False)},
+    "translate": {"query": ("string", True), "to": ("string", True), "limit": ("integer", False)},
+}
+
+
 def op8_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sheafline.llm.chat import link
+    """All conversations, with calls put in by a rule, as the tables hold none; errors joined by "; "."""
+    from pyspark.sql import functions as F
 
-    return link(table(spark, sf_dir, "conversations"))
+    from sheafline.llm.chat import as_tool_dialogue, link
+
+    return link(as_tool_dialogue(table(spark, sf_dir, "conversations")), TOOLS).withColumn("errors", F.array_join("errors", "; "))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +103,32 @@ QUERIES: dict = {
 #: Vectors are compared pair by pair here, which only small tables bear. The other operators fit models,
 #: call tokenizers, compress or pack, which SQL cannot say; tests hold them against brute force.
 ORACLES: dict = {
+    "op8_tool_call_linking": """
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, coalesce(role = 'assistant' AND turn IS NOT NULL, false) AS asks FROM conversations),
+c AS (SELECT conv_id, turn, text, CASE WHEN conv_id % 2 = 0 THEN turn - 2 ELSE turn + 2 END AS near FROM m WHERE asks),
+p(conv_id, turn, here, steps) AS (
+  SELECT conv_id, turn, turn, 0 FROM c
+  UNION SELECT p.conv_id, p.turn, c.near, p.steps + 1 FROM p JOIN c ON c.conv_id = p.conv_id AND c.turn = p.here
+    JOIN c d ON d.conv_id = c.conv_id AND d.turn = c.near),
+l AS (SELECT conv_id, turn, max(here) AS order_turn, arg_max(steps, here) + 1 AS level FROM p GROUP BY ALL),
+told AS (
+  SELECT conv_id, turn, 0 AS item, 'message' AS kind, NULL AS call_id, NULL AS name, turn AS order_turn, 0 AS level, '' AS errors,
+    '{"content":' || to_json(text)::VARCHAR || ',"role":' || to_json(role)::VARCHAR || '}' AS json FROM m
+  UNION ALL
+  SELECT c.conv_id, c.turn, 1, 'call', 't' || c.turn, CASE WHEN c.turn % 4 = 3 THEN 'translate' ELSE 'look_up' END, l.order_turn, l.level,
+    concat_ws('; ', CASE WHEN c.turn % 8 = 1 THEN 'limit is not integer' END, CASE WHEN c.turn % 4 = 3 THEN 'missing to' END,
+      CASE WHEN c.turn % 5 = 0 THEN 'no result' END,
+      CASE WHEN NOT EXISTS (SELECT 1 FROM c d WHERE d.conv_id = c.conv_id AND d.turn = c.near) THEN 'unknown dependency' END),
+    '{"arguments":{"limit":' || CASE WHEN c.turn % 8 = 1 THEN '"ten"' ELSE '10' END || ',"query":' || to_json(c.text)::VARCHAR || '},"depends_on":["t' || c.near
+      || '"],"id":"t' || c.turn || '","name":"' || CASE WHEN c.turn % 4 = 3 THEN 'translate' ELSE 'look_up' END || '","type":"function"}'
+  FROM c JOIN l ON l.conv_id = c.conv_id AND l.turn = c.turn
+  UNION ALL
+  SELECT c.conv_id, c.turn, 0, 'result', 't' || c.turn, NULL, l.order_turn, l.level + 1, '',
+    '{"content":{"chars":' || length(c.text) || '},"role":"tool","tool_call_id":"t' || c.turn || '"}'
+  FROM c JOIN l ON l.conv_id = c.conv_id AND l.turn = c.turn WHERE c.turn % 5 <> 0)
+SELECT conv_id, turn, item::INTEGER AS item, kind, call_id, name, order_turn, level::INTEGER AS level, errors = '' AS valid, errors, json FROM told
+""",
     "op7_embedding_near_dedup": """
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings

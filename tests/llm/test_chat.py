@@ -40,7 +40,7 @@ def test_order_errors_and_json(spark):
     ]
     assert [r["json"] for r in got] == [
         json.dumps({"content": 'hi "x"\n é\\', "role": "user"}, ensure_ascii=False, separators=(",", ":")), '{"content":"ok","role":"assistant"}',
-        '{"arguments":{"x":1,"y":2},"id":"a","name":"add","type":"function"}', '{"arguments":{"q":3,"x":"1"},"id":"b","name":"add","type":"function"}',
+        '{"arguments":{"x":1,"y":2},"id":"a","name":"add","type":"function"}', '{"arguments":{"q":3,"x":"1"},"depends_on":["a"],"id":"b","name":"add","type":"function"}',
         '{"content":{"a":[1,2.5,null],"z":1},"role":"tool","tool_call_id":"b"}', '{"content":3,"role":"tool","tool_call_id":"a"}', '{"content":"é","role":"tool","tool_call_id":"zz"}',
     ]
 
@@ -93,3 +93,90 @@ def test_types(spark, value, kind):
 def test_no_python_on_the_executors(spark):
     plan = chat.link(spark.createDataFrame([(1, 0, "user", "x")], SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_no_member_is_lost(spark):
+    """Whatever JSON a call, a message or a result holds comes back, but for tool_calls, whose calls are rows."""
+    rng = random.Random(4)
+    value = lambda d=0: rng.choice([1, -2.5, "é\n\"", None, True, [1, {"b": 2, "a": []}], {"z": {"y": 1, "x": "w"}}])
+    rows, want = [], {}
+    for conv in range(60):
+        call_ = {"id": "a", "name": "now", "arguments": {}} | {rng.choice(["depends_on", "note", "Zed", "é", "index"]): value() for _ in range(3)}
+        call_ = {k: call_[k] for k in rng.sample(list(call_), len(call_)) if k == "id" or rng.random() < 0.8}
+        told = {"tool_calls": [call_], "content": value(), "id": 7, "extra": value()}
+        answer = {"tool_call_id": "a", "content": value(), "status": value()}
+        rows += [(conv, 0, "assistant", json.dumps(told)), (conv, 1, "tool", json.dumps(answer, ensure_ascii=False, indent=1))]
+        del told["tool_calls"]
+        want[conv] = [told | {"role": "assistant"}, {"name": None, "arguments": None} | call_ | {"type": "function"}, answer | {"role": "tool"}]
+    written = lambda v: json.dumps(v, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
+    got = linked(spark, rows)
+    for conv in want:
+        assert [r["json"] for r in got if r["conv_id"] == conv] == [written(v) for v in want[conv]]
+
+
+def test_what_is_not_such_json_is_plain_content(spark):
+    texts = ['{"tool_calls": [1]}', '{"tool_calls": {}}', '{"tool_calls": []}', '{"a":1,"a":2,"tool_calls":[{"id":"x"}]}', '[{"id":"x"}]', '{"content":1}']
+    got = linked(spark, [(i, 0, "assistant", t) for i, t in enumerate(texts)])
+    assert [json.loads(r["json"]) for r in got] == [{"content": t, "role": "assistant"} for t in texts]
+
+
+def walked(turns, needs):
+    """id -> (order_turn, level, cycle) by plain recursion; turns: id -> turn, needs: id -> ids."""
+    state, found = {}, {}
+
+    def bad(c, path):
+        if c in state:
+            return state[c]
+        if c in path:
+            return True
+        state[c] = any([bad(n, path | {c}) for n in needs[c] if n in turns])
+        return state[c]
+
+    def place(c):
+        if c not in found:
+            at, level = max((place(n) for n in needs[c] if n in turns), default=(-1, 0))
+            found[c] = (at, level + 1) if at >= turns[c] else (turns[c], 1)
+        return found[c]
+
+    reach = lambda c, seen: [reach(n, seen) for n in needs[c] if n in turns and n not in seen and not seen.add(n)] and seen or seen
+    in_cycle = {c for c in turns if c in reach(c, set())}
+    doomed = {c for c in turns if c in in_cycle or reach(c, set()) & in_cycle}
+    return {c: (turns[c], 1, True) if c in doomed else (*place(c), False) for c in turns}
+
+
+def test_places_against_a_plain_walk(spark):
+    rng, rows, want = random.Random(6), [], {}
+    for conv in range(60):
+        n = rng.randint(1, 12)
+        turns = {f"c{i}": rng.randint(0, 4) for i in range(n)}
+        back = rng.random() < 0.3
+        needs = {c: rng.sample([o for o in [*turns, "gone"] if back or o == "gone" or int(o[1:]) < int(c[1:])], k=min(rng.randint(0, 2), int(c[1:]))) for c in turns}
+        rows += [(conv, t, "assistant", says(call(c, "now", {}, needs[c]))) for c, t in turns.items()]
+        want |= {(conv, c): v for c, v in walked(turns, needs).items()}
+    got = {(r["conv_id"], r["call_id"]): (r["order_turn"], r["level"], "cycle" in r["errors"]) for r in linked(spark, rows) if r["kind"] == "call"}
+    assert got == want and any(v[2] for v in want.values()) and any(v[1] > 2 for v in want.values())
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds, write = [], chat.Scratch.write
+    monkeypatch.setattr(chat.Scratch, "write", lambda self, df: rounds.append(1) or write(self, df))
+    n = 1000
+    rows = [(1, 0, "assistant", says(*[call(f"c{i}", "now", {}, [f"c{i + 1}"] if i + 1 < n else []) for i in range(n)]))]
+    got = [r["call_id"] for r in linked(spark, rows) if r["kind"] == "call"]
+    assert got == [f"c{i}" for i in reversed(range(n))] and len(rounds) < 40
+
+
+def test_the_query_equals_its_sql(spark):
+    import duckdb
+    from conftest import DATA
+
+    from sheafline.llm import queries
+
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW conversations AS SELECT * FROM '{DATA}/conversations.parquet'")
+    found = queries.op8_tool_call_linking(spark, DATA)
+    want = base.execute(queries.ORACLES["op8_tool_call_linking"]).to_arrow_table()
+    assert sorted(found.columns) == sorted(want.column_names)
+    rows = sorted(map(str, want.select(found.columns).to_pylist()))
+    assert sorted(str(r.asDict()) for r in found.collect()) == rows and len(rows) > 100
+    assert {"call", "message", "result"} == {r["kind"] for r in want.to_pylist()}
