@@ -12,9 +12,12 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names; a temporary one only where none is set."""
+    """The folder that the cluster names. A temporary one only where none is set and driver and executors are
+    one process; elsewhere each machine would have its own, and what is written would be lost."""
     found = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="sheafline-")
         spark.conf.set(CHECKPOINT_DIR, found)
     return found.rstrip("/")

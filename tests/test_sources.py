@@ -89,3 +89,20 @@ def test_json_round_trip(spark):
     text = state.select(F.to_json(F.struct("*")).alias("j"))
     back = text.select(F.from_json("j", state.schema).alias("s")).select("s.*")
     assert back.collect() == state.collect() and json.loads(text.first()["j"])["document_id"] == "d"
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    from types import SimpleNamespace
+
+    from sheafline.sources.scratch import shared_dir
+
+    def session(master, folder=None):
+        conf = {"spark.checkpoint.dir": folder} if folder else {}
+        context = SimpleNamespace(master=master, getConf=lambda: conf)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d, set=conf.__setitem__), sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(session(master))
+        assert shared_dir(session(master, "file:///shared/")) == "file:///shared"
+    assert shared_dir(session("local[4]")).startswith("file://")
