@@ -3,9 +3,12 @@
 A document's features are the hashes of its distinct words and of a few marks of its form, one weight
 each, shared by all grades: P(grade <= k) = sigmoid(theta_k - score), with theta_0 < theta_1 < ... The
 fit sees at most SAMPLE_ROWS labelled rows of each grade, those of the smallest hashes; it is full-batch
-proximal Adagrad with an L1 penalty, so neutral words weigh nothing and long texts don't drift. The
-weights left are at most the features seen in FEWEST or more sample rows, whatever the corpus. Scoring
-is one pass over the documents without a shuffle.
+proximal Adagrad with an L1 penalty, so neutral words weigh nothing and long texts don't drift. Features
+are counted by grade in Spark, and only those that FEWEST sample rows hold and whose slope at the start
+outweighs the penalty reach the driver. Scoring is one pass over the documents without a shuffle.
+
+Weights are zero or less: a word can speak against a text, never for it. So a short text is not rejected
+for want of praise, and a text of words that no labelled document holds gets the top grade's own odds.
 
 Grades: 0 toxic, 1 of low quality, 2 good.
 """
@@ -22,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafline.llm.common import Scratch
+
 SAMPLE_ROWS = 4000
 FEWEST = 4
 PENALTY = 1.5e-4
@@ -54,9 +59,8 @@ def features(text: str | None) -> list[int]:
         b"\x00odd ": len(raw.translate(None, _NOT_ODD)) / n,
         b"\x00upper ": len(raw.translate(None, _NOT_UPPER)) / n,
         b"\x00again ": sum(map(operator.eq, words, words[1:])) / len(words),
+        b"\x00bare ": sum(not w.strip(_MARKS) for w in words) / len(words),
     }
-    if len(words) >= 20:
-        shares[b"\x00bare "] = sum(not w.strip(_MARKS) for w in words) / len(words)
     found = [f + str(e).encode() for f, share in shares.items() for e in _EDGES if share * 100 >= e]
     digest = xxhash.xxh3_64_intdigest
     return [digest(w) for w in distinct] + [digest(f) for f in found]
@@ -79,22 +83,19 @@ class Model:
 UNGRADED = Model({}, np.full(GRADES - 1, -500.0))
 
 
-def fit_rows(columns: list[np.ndarray], grades: np.ndarray, share: np.ndarray) -> Model:
-    """columns: each row's feature hashes; share: how many rows of the corpus each row stands for."""
-    lengths = np.array([len(c) for c in columns])
-    kinds, index, seen = np.unique(
-        np.concatenate([*columns, np.empty(0, np.uint64)]), return_inverse=True, return_counts=True
-    )
-    row, size, at = np.repeat(np.arange(len(columns)), lengths), share / max(share.sum(), 1e-12), np.arange(len(columns))
-    # Thresholds start at the grades' own odds and are kept apart by a sum of positive steps.
-    below = np.array([size[grades <= k].sum() for k in range(GRADES - 1)]).clip(1e-3, 1 - 1e-3)
-    theta = np.log(below / (1 - below))
-    first, step = theta[0], np.log(np.maximum(np.diff(theta), 1e-2))
-    edge = lambda: first + np.concatenate([[0], np.cumsum(np.exp(step))])
+class _Loss:
+    """The slopes of the loss over rows of given grades, each of which stands for ``size`` of the corpus."""
+
+    def __init__(self, grades: np.ndarray, share: np.ndarray):
+        self.grades, self.size = grades, share / max(share.sum(), 1e-12)
+        # Thresholds start at the grades' own odds.
+        below = np.array([self.size[grades <= k].sum() for k in range(GRADES - 1)]).clip(1e-3, 1 - 1e-3)
+        self.start = np.log(below / (1 - below))
 
-    def slopes(score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of the loss, by each row's score and by each threshold."""
-        cut = 1 / (1 + np.exp(np.clip(score[:, None] - edge(), -500, 500)))  # P(grade <= k)
+    def slopes(self, score: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By each row's score and by each threshold."""
+        grades, size, at = self.grades, self.size, np.arange(len(score))
+        cut = 1 / (1 + np.exp(np.clip(score[:, None] - edge, -500, 500)))  # P(grade <= k)
         padded = np.hstack([np.zeros((len(score), 1)), cut, np.ones((len(score), 1))])
         high, low = padded[at, grades + 1], padded[at, grades]
         chance = np.maximum(high - low, 1e-9)
@@ -102,15 +103,30 @@ def fit_rows(columns: list[np.ndarray], grades: np.ndarray, share: np.ndarray) -
         of = lambda k: (slope_low * (grades == k + 1) - slope_high * (grades == k)).sum()
         return slope_high - slope_low, np.array([of(k) for k in range(GRADES - 1)])
 
-    # A feature whose slope at the start the penalty outweighs stays out. Weights are zero or less: a
-    # feature can speak against a text, so a short text is not rejected for want of praise.
-    start = np.bincount(index, slopes(np.zeros(len(columns)))[0][row], len(kinds))
-    use = (seen >= FEWEST) & (start > PENALTY)
+    def pulls(self) -> np.ndarray:
+        """Of a row of each grade, its slope at the start; 0 for a grade without rows."""
+        edge = self.start[0] + np.concatenate([[0], np.cumsum(np.maximum(np.diff(self.start), 1e-2))])
+        pull = self.slopes(np.zeros(len(self.grades)), edge)[0]
+        return np.array([pull[self.grades == g][:1].sum() for g in range(GRADES)])
+
+
+def fit_rows(columns: list[np.ndarray], grades: np.ndarray, share: np.ndarray) -> Model:
+    """columns: each row's feature hashes; share: how many rows of the corpus each row stands for."""
+    lengths = np.array([len(c) for c in columns])
+    kinds, index, seen = np.unique(
+        np.concatenate([*columns, np.empty(0, np.uint64)]), return_inverse=True, return_counts=True
+    )
+    row, loss = np.repeat(np.arange(len(columns)), lengths), _Loss(grades, share)
+    # Thresholds are kept apart by a sum of positive steps.
+    first, step = loss.start[0], np.log(np.maximum(np.diff(loss.start), 1e-2))
+    edge = lambda: first + np.concatenate([[0], np.cumsum(np.exp(step))])
+    # A feature whose slope at the start the penalty outweighs stays out.
+    use = (seen >= FEWEST) & (np.bincount(index, loss.pulls()[grades][row], len(kinds)) > PENALTY)
     index, row, kinds = (np.cumsum(use) - 1)[index[use[index]]], row[use[index]], kinds[use]
     weights = np.zeros(len(kinds))
     square_w, square_t = np.full(len(weights), DAMPING**2), np.full(GRADES - 1, DAMPING**2)
     for _ in range(ROUNDS):
-        pull, grad_edge = slopes(np.bincount(row, weights[index], len(columns)))
+        pull, grad_edge = loss.slopes(np.bincount(row, weights[index], len(columns)), edge())
         grad = np.bincount(index, pull[row], len(weights))
         square_w += grad * grad
         move = RATE / np.sqrt(square_w)
@@ -150,25 +166,44 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.array(features(t.as_py()), np.uint64).tobytes() for t in batch.column("text")]
+            rows = [np.sort(np.array(features(t.as_py()), np.uint64)).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(rows, pa.binary())], ["doc_id", "grade", "x"])
 
-    # part has at most SAMPLE_ROWS * GRADES rows of two numbers, so it is broadcast, not the texts.
-    sample = (
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows = [np.frombuffer(x, np.int64) for x in part.column("x").to_pylist()]
+                again = pa.array(np.repeat(np.arange(len(rows)), [len(r) for r in rows]))
+                found = np.concatenate([*rows, np.empty(0, np.int64)])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(again), part.column("grade").take(again), pa.array(found)], ["doc_id", "grade", "f"])
+
+    # part has at most SAMPLE_ROWS * GRADES rows of two numbers, so it is broadcast, not the texts. Of a
+    # repeated document one text counts.
+    scratch = Scratch(docs.sparkSession, "quality")
+    sample = scratch.table(
         texts.join(F.broadcast(part), "doc_id")
         .select("doc_id", F.col("grade").cast("int").alias("grade"), "text")
         .mapInArrow(hashed, "doc_id long, grade int, x binary")
-        .toArrow()
+        .groupBy("doc_id", "grade")
+        .agg(F.min("x").alias("x"))
     )
-    order = np.argsort(sample.column("doc_id").to_numpy(), kind="stable")
-    _, first = np.unique(sample.column("doc_id").to_numpy()[order], return_index=True)
-    order = order[first]  # a repeated document counts once
-    grades = sample.column("grade").to_numpy()[order].astype(np.int64)
-    columns = [np.frombuffer(sample.column("x")[int(i)].as_py(), np.uint64) for i in order]
-    if not columns:
+    found = sample.select("doc_id", "grade").toArrow().sort_by("doc_id")
+    ids, grades = found.column("doc_id").to_numpy(), found.column("grade").to_numpy().astype(np.int64)
+    if not len(ids):
         return UNGRADED
     many = np.bincount(grades, minlength=GRADES)
     share = np.array([totals.get(int(g), 0) / many[g] for g in grades])
+    pulls = _Loss(grades, share).pulls()
+    each = sample.mapInArrow(unpacked, "doc_id long, grade int, f long")
+    of = [F.count(F.when(F.col("grade") == g, 1)) for g in range(GRADES)]
+    # A little under the penalty, as sums may differ in their last bits; the fit decides again.
+    telling = each.groupBy("f").agg(F.count(F.lit(1)).alias("n"), sum((n * F.lit(float(p)) for n, p in zip(of, pulls)), F.lit(0.0)).alias("pull"))
+    telling = telling.where((F.col("n") >= FEWEST) & (F.col("pull") > PENALTY * (1 - 1e-9))).select("f")
+    held = each.join(telling, "f").select("doc_id", "f").toArrow().sort_by([("doc_id", "ascending"), ("f", "ascending")])
+    of_row = np.searchsorted(ids, held.column("doc_id").to_numpy())
+    columns = np.split(held.column("f").to_numpy().view(np.uint64), np.searchsorted(of_row, np.arange(1, len(ids))))
+    scratch.clear()
     return fit_rows(columns, grades, share)
 
 

@@ -85,3 +85,14 @@ def test_fit_is_the_same_each_time(spark):
     one, two = quality.fit(docs, labels), quality.fit(docs.repartition(7), labels)
     assert one.weights.keys() == two.weights.keys()
     assert all(two.weights[k] == pytest.approx(w, abs=1e-6) for k, w in one.weights.items())
+
+
+def test_counting_in_spark_loses_no_feature(spark):
+    """What reaches the driver gives the model that all features of all rows give."""
+    rows = corpus(600, 8)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(g != 1), int(g == 0)) for i, _, g in rows], "doc_id long, quality int, toxic int")
+    got, want = quality.fit(docs, labels), fitted(rows)
+    assert got.weights.keys() == want.weights.keys() and got.weights
+    assert all(got.weights[k] == pytest.approx(w, abs=1e-9) for k, w in want.weights.items())
+    assert got.thresholds == pytest.approx(want.thresholds, abs=1e-9)
