@@ -11,7 +11,8 @@ ASCII white space. A chunk is a bounded run of documents in a task. Three steps,
    by position, and decoded by joining each id to its piece.
 
 What moves is the distinct words of chunks and a compressed number for each word, never the text or a
-row for each word. The number of buckets follows the input; a hot word is one word in each chunk.
+row for each word. The number of buckets follows the size of the input; a hot word is one word in each
+chunk. A task holds a chunk, or a bucket's latest KNOWN_WORDS words, however large the corpus.
 """
 
 from __future__ import annotations
@@ -33,6 +34,10 @@ from sheafline.llm.common import Scratch, runs
 
 #: Text in a chunk, in code units, unless a single document is longer.
 CHUNK_CHARS = 24 << 20
+#: Stored input for each task of a shuffle, and the most buckets: a chunk sends a row to each.
+PART_BYTES, MOST_BUCKETS = 16 << 20, 32_768
+#: Encoded words that a task remembers; beyond, it starts anew and a word may be encoded again.
+KNOWN_WORDS = 1 << 20
 
 
 @lru_cache(2)
@@ -135,6 +140,8 @@ def _encode_words(path: str):
         for batch in batches:
             for chunk, _, check, numbers, words in zip(*(c.to_pylist() for c in batch.columns)):
                 found = zstandard.ZstdDecompressor().decompress(words).split(b"\n")
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
                 new = [w for w in found if w not in known]
                 for at in range(0, len(new), 20_000):
                     part = new[at : at + 20_000]
@@ -218,14 +225,16 @@ def encode_decode(docs: DataFrame, vocabulary: str, stable: bool = False, full:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if not stable:
         source = scratch.table(source)
+    stored = str((docs if stable else source)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    parts = max(spark.sparkContext.defaultParallelism, -(-int(stored) // PART_BYTES))
+    buckets = min(parts, MOST_BUCKETS)
     source = source.select(F.spark_partition_id().cast("long").alias("part"), "doc_id", "text")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = source.mapInArrow(_send_words(buckets), _SENT)
     answers = sent.repartition(buckets, "bucket").mapInArrow(_encode_words(vocabulary), _MET)
     met = answers.union(source.mapInArrow(_send_docs, _MET))
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return (
-        met.repartition(buckets, "chunk")
+        met.repartition(parts, "chunk")
         .sortWithinPartitions("chunk", "kind", "number")
         .mapInArrow(_join_back(vocabulary, full), kinds + (", ids array<long>, decoded string" if full else ""))
     )

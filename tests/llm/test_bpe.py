@@ -3,7 +3,9 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
+import zstandard
 
 from sheafline.llm import bpe
 
@@ -48,3 +50,23 @@ def test_unstable_input_is_written_first(spark):
     docs = spark.createDataFrame([(1, "a b", "x"), (2, "b", "x")], "doc_id long, text string, n_tokens string").orderBy("text")
     assert {(r["doc_id"], r["n_tokens"]) for r in bpe.encode_decode(docs, VOCABULARY).collect()} == {(1, 2), (2, 1)}
     assert bpe.encode_decode(docs.limit(0), VOCABULARY).count() == 0
+
+
+def test_few_known_words_and_many_buckets(spark, monkeypatch):
+    """Neither what a task remembers nor the number of buckets changes the ids."""
+    monkeypatch.setattr(bpe, "PART_BYTES", 64)
+    docs = spark.createDataFrame([(i, " ".join(f"word{j % 37} x{i}" for j in range(i))) for i in range(60)], "doc_id long, text string")
+    told = lambda: sorted(tuple(r) for r in bpe.encode_decode(docs, VOCABULARY).collect())
+    many = told()
+    monkeypatch.setattr(bpe, "PART_BYTES", 1 << 30)
+    assert told() == many
+    encode = bpe._encode_words(VOCABULARY)
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "chunk": [0, 1, 0], "bucket": [0, 0, 0], "check": [5, 6, 5], "numbers": [b"n"] * 3,
+            "words": [zstandard.ZstdCompressor().compress(w) for w in (b"one\ntwo", b"two\nthree", b"one")],
+        }
+    )
+    whole = [b.to_pylist() for b in encode(iter([batch]))]
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 0)
+    assert [b.to_pylist() for b in encode(iter([batch]))] == whole
