@@ -164,7 +164,7 @@ def provider_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    found = table(spark, sf_dir, "events").select("event_id", prompts.answer_of(F.when(native, "ollama").otherwise("other"), F.parse_json(body)).alias("a"))
+    found = table(spark, sf_dir, "events").select("event_id", prompts.answer_of(F.when(native, "ollama").otherwise("openai"), F.parse_json(body)).alias("a"))
     or_none = lambda c: F.coalesce(F.col(c), F.lit(-1))
     return found.select(
         "event_id", "a.text", or_none("a.usage.input_tokens").alias("input_tokens"), or_none("a.usage.output_tokens").alias("output_tokens"),
@@ -229,7 +229,7 @@ FROM (SELECT conv_id, role, count(*) AS n FROM conversations WHERE turn // 2 % 2
 """)
 def graph_comparisons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pairs of nodes whose answers the default graph compares, over two halves of conversations."""
-    pairs = answers.compared_pairs(answers.compile_graph(None))
+    pairs = answers.compared_pairs(answers.compile_graph(answers.default_graph()))
     turns = table(spark, sf_dir, "conversations").groupBy("conv_id", "role", (F.floor(F.col("turn") / 2) % 2).alias("half")).agg(F.count(F.lit(1)).alias("n"))
     fields = lambda half: turns.where(F.col("half") == half).groupBy("conv_id").agg(
         F.map_from_entries(F.collect_list(F.struct("role", F.col("n").cast("string").alias("n")))).alias("fields")
@@ -255,8 +255,12 @@ def cached_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.cached_results(results, requests).groupBy("node_id").agg(F.count(F.lit(1)).alias("reusable"))
 
 
-@query()
+@query("""
+SELECT * FROM (VALUES (0, 'classify', '', 'simple_extract'), (1, 'extract_a', 'classify', 'simple_extract'), (2, 'extract_b', 'classify', 'simple_extract'),
+  (3, 'compare', 'extract_a,extract_b', 'simple_extract'), (4, 'validate', 'compare', 'simple_extract'), (5, 'consolidate', 'validate', 'simple_extract')) t("position", node, needs, template)
+""")
 def default_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The default inference graph as a table of nodes and what they need."""
-    rows = [(n, name, list(needs)) for n, (name, needs) in enumerate(S.DEFAULT_GRAPH.items())]
-    return spark.createDataFrame(rows, "position int, node string, needs array<string>")
+    """The default inference graph, compiled, as a table of nodes and what they need."""
+    plan = answers.compile_graph(answers.default_graph())
+    rows = [(n, node.node_id, ",".join(node.depends_on), node.template) for n, node in enumerate(plan.nodes)]
+    return spark.createDataFrame(rows, "position int, node string, needs string, template string")

@@ -151,20 +151,34 @@ FROM documents
 def report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as the text report of a PDF engine and read back as text and blocks: a line is a
     block, its words rows of level 5."""
-    words = lambda line: F.regexp_extract_all(line, F.lit(r"\S+"), F.lit(0))
-    row = lambda level, word: F.concat_ws("\t", F.lit(level), *[F.lit(x) for x in "1 1 1 1 1 10 20 30 5 99".split()], word)
-    block = lambda line: F.concat(F.array(row("3", F.lit("###FLOW###")), row("4", F.lit("###LINE###"))), F.transform(words(line), lambda w: row("5", w)))
-    report = F.array_join(F.flatten(F.transform(F.split("text", "\n"), block)), "\n")
+    row = lambda level, word: "\t".join([level, *"1 1 1 1 1 10 20 30 5 99".split(), word]) + "\n"
+    head = row("3", "###FLOW###") + row("4", "###LINE###")
+    block = lambda line: F.concat(F.lit(head), F.regexp_replace(line, r"\s*+(\S++)\s*+", row("5", "$1")))
+    report = F.array_join(F.transform(F.split("text", "\n"), block), "\n")
     reports = table(spark, sf_dir, "documents").select("doc_id", report.alias("report"))
-    blocks = layout.tsv_blocks(reports, ["doc_id"])
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda s: s["text"]), "\n")
-    found = blocks.groupBy("doc_id").agg(text.alias("text"), F.count(F.lit(1)).alias("blocks"))
-    return reports.select("doc_id").join(found, "doc_id", "left").select(
-        "doc_id", F.col("blocks").isNotNull().cast("int").alias("has_text"), identity.digest(F.coalesce("text", F.lit(""))).alias("text_sha256"),
-        F.coalesce("blocks", F.lit(0)).alias("blocks"),
+    return layout.tsv_text(reports, ["doc_id"]).select(
+        "doc_id", (F.col("blocks") > 0).cast("int").alias("has_text"), identity.digest(F.col("text")).alias("text_sha256"), F.col("blocks").cast("long").alias("blocks")
     )
 
 
+@query("""
+SELECT l_orderkey, string_agg(CASE WHEN l_linenumber % 3 > 0 THEN l_returnflag || l_linenumber END, ' ' ORDER BY CAST(round(l_extendedprice * 100) AS BIGINT) * 10 + l_linenumber, l_returnflag) AS text,
+       count(*) AS blocks FROM lineitem GROUP BY 1
+""")
+def gapped_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of blocks of which some are empty: those are in the paragraph, but leave no blank in its text."""
+    place = F.round(F.col("l_extendedprice") * 100).cast("long") * 10 + F.col("l_linenumber")
+    top = place.cast("double")
+    blocks = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("document_id"), F.lit(1).alias("page"), place.alias("order"), F.lit("text").alias("type"),
+        F.when(F.col("l_linenumber") % 3 > 0, F.concat("l_returnflag", "l_linenumber")).otherwise("").alias("text"),
+        G.box(F.lit(0.0), top, F.lit(1.0), top + 1).alias("bbox"), F.lit(None).cast("int").alias("level"),
+    )
+    counts = blocks.groupBy("document_id").agg(F.count(F.lit(1)).alias("blocks"))
+    merged = layout.merge_blocks(blocks).join(counts, "document_id")
+    return merged.select(F.col("document_id").alias("l_orderkey"), F.when(F.col("text") != "", F.col("text")).alias("text"), "blocks")
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, least(greatest(l_extendedprice / 50000, 0), 1) AS l, least(greatest(l_quantity / 20, 0), 1) AS t,
        least(greatest((l_extendedprice + 1000) / 50000, 0), 1) AS r, least(greatest((l_quantity + 5) / 20, 0), 1) AS b,

@@ -355,6 +355,9 @@ KERNELS = {
     "orientation": lambda i, p: np.rot90(i, -1),
     "deskew": lambda i, p: deskew(i, p["skew"]),
     "sharpen": lambda i, p: sharpen(i),
+    "correct_orientation": lambda i, p: rotate(i, float(p["orientation"])),
+    "normalize_brightness": lambda i, p: brighten(i, p["shift"]),
+    "resize": lambda i, p: fit_for_vision(i),
     "binarize": lambda i, p: binarize(i, p["block_size"], p["constant"]),
 }
 

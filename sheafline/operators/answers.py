@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,35 +85,72 @@ class GraphError(ValueError):
     """A graph that cannot be run as it is described."""
 
 
-def compile_graph(graph: Mapping | None) -> dict[str, tuple[str, ...]]:
-    """node -> what it needs, in order; a graph without nodes is the default one.
+@dataclass(frozen=True)
+class Node:
+    node_id: str
+    depends_on: tuple[str, ...]
+    task: str
+    template: str
+    schema: str | Mapping | None
 
-    Ids are unique and texts, each dependency stands before, and no key is unknown.
-    """
-    if graph is None:
-        return dict(S.DEFAULT_GRAPH)
-    unknown = sorted(set(graph) - {"graph_id", "version", "nodes"})
+
+@dataclass(frozen=True)
+class Graph:
+    graph_id: str
+    graph_version: str
+    nodes: tuple[Node, ...]
+
+
+def _name(value, field: str) -> str:
+    if not isinstance(value, str) or not value.strip():
+        raise GraphError(f"DEPENDENCY_ERROR: the graph descriptor states no {field}")
+    return value
+
+
+def _known(described: Mapping, keys: frozenset[str], what: str) -> None:
+    unknown = sorted(set(described) - keys)
     if unknown:
-        raise GraphError(f"unsupported keys: {', '.join(unknown)}")
-    found: dict[str, tuple[str, ...]] = {}
-    for node in graph.get("nodes") or ():
-        name, needs = node.get("id"), tuple(node.get("dependencies") or ())
-        if not isinstance(name, str) or not name.strip():
-            raise GraphError("a node needs an id")
-        if name in found:
-            raise GraphError(f"{name} is declared twice")
-        late = [n for n in needs if n not in found]
+        raise GraphError(f"DEPENDENCY_ERROR: {what} uses keys that are not supported: {', '.join(unknown)}")
+
+
+def compile_graph(descriptor: Mapping | None) -> Graph:
+    """A descriptor's nodes in their order; ``default_graph()`` is one. Whatever it leaves unclear is refused:
+    no descriptor, id, version or nodes, unknown keys, a node without a template, an id that is repeated, a
+    dependency that doesn't stand before."""
+    if descriptor is None:
+        raise GraphError("DEPENDENCY_ERROR: a graph run needs a graph descriptor")
+    graph_id, version = _name(descriptor.get("graph_id"), "graph_id"), _name(descriptor.get("graph_version"), "graph_version")
+    _known(descriptor, S.GRAPH_KEYS, f"the graph {graph_id}")
+    declared = descriptor.get("nodes")
+    if not isinstance(declared, list) or not declared:
+        raise GraphError("DEPENDENCY_ERROR: the graph descriptor declares no nodes")
+    found: dict[str, Node] = {}
+    for entry in declared:
+        if not isinstance(entry, Mapping):
+            raise GraphError("DEPENDENCY_ERROR: a declared node is not a mapping")
+        node = _name(entry.get("node_id"), "node_id")
+        if node in found:
+            raise GraphError(f"DEPENDENCY_ERROR: the graph declares {node} twice")
+        _known(entry, S.NODE_KEYS, f"the node {node}")
+        needs = entry.get("depends_on", [])
+        if not isinstance(needs, list):
+            raise GraphError(f"DEPENDENCY_ERROR: {node} declares a depends_on that is not a list")
+        late = [str(n) for n in needs if n not in found]
         if late:
-            raise GraphError(f"{name} needs {', '.join(late)}, which must stand before it")
-        found[name] = needs
-    if not found:
-        raise GraphError("a graph needs nodes")
-    return found
+            raise GraphError(f"DEPENDENCY_ERROR: {node} depends on nodes that do not precede it: {', '.join(late)}")
+        found[node] = Node(node, tuple(needs), _name(entry.get("task", node), "task"), _name(entry.get("template"), "template"), entry.get("schema"))
+    return Graph(graph_id, version, tuple(found.values()))
+
+
+def default_graph() -> dict:
+    """The descriptor of the documented chain."""
+    nodes = [{"node_id": n, "task": n, "template": "simple_extract", "schema": "simple", "depends_on": list(needs)} for n, needs in S.DEFAULT_GRAPH.items()]
+    return {"graph_id": "default_inference", "graph_version": "1", "nodes": nodes}
 
 
-def compared_pairs(graph: Mapping[str, tuple[str, ...]]) -> list[tuple[str, str, str]]:
+def compared_pairs(graph: Graph) -> list[tuple[str, str, str]]:
     """(node, left, right): neighbours among what a node needs, whose answers are compared."""
-    return [(n, a, b) for n, needs in graph.items() for a, b in zip(needs, needs[1:])]
+    return [(n.node_id, a, b) for n in graph.nodes for a, b in zip(n.depends_on, n.depends_on[1:])]
 
 
 def collect_deltas(deltas: DataFrame, keys: list[str]) -> DataFrame:

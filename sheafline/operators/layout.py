@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -26,7 +26,7 @@ def islands(rows: DataFrame, keys: list[str], order: list[str], breaks: Column,
 
 
 def merge_blocks(blocks: DataFrame, key: str = "document_id") -> DataFrame:
-    """Consecutive ``text`` blocks of a document become one paragraph: texts joined by a space, the box
+    """Consecutive ``text`` blocks of a document become one paragraph: texts that aren't empty joined by a space, the box
     around them, the first one's page and order, no level. Any other type stands alone and breaks a run.
 
     blocks: (key, page, order, type, text, bbox, level), read in page, top, left, order.
@@ -42,7 +42,7 @@ def merge_blocks(blocks: DataFrame, key: str = "document_id") -> DataFrame:
         first("order").alias("order"),
         first("type").alias("_type"),
         F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct(*order, "text"))), lambda s: s["text"]), " "
+            F.filter(F.transform(F.array_sort(F.collect_list(F.struct(*order, "text"))), lambda s: s["text"]), lambda t: t != ""), " "
         ).alias("text"),
         G.union(F.col("bbox")).alias("_bbox"),
         first("bbox").alias("_own"),
@@ -216,40 +216,59 @@ def ocr_state(status: Column, error_type: Column, produced: Column, missing: Col
     )
 
 
-def tsv_blocks(reports: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, block, block_id, text, bbox): the text report of PDF pages as blocks, without a shuffle.
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
 
-    reports: (keys, report): tab-separated rows; level 3 opens a block and gives its box, level 4 closes
-    a line, level 5 adds the word in column 11. Rows under 12 columns count for nothing; words are
-    joined by a space, lines by a line break; blocks without words give no row and take no number.
+def tsv_flows(report: Column, boxes: bool = True) -> Column:
+    """array<struct<block int, text string, bbox>>: the blocks of a page's text report, in the row; without
+    ``boxes`` only their texts are read.
+
+    A report has tab-separated rows; level 3 opens a block and gives its box, level 4 closes a line, level 5
+    adds the word in column 11. Rows under 12 columns count for nothing; words are joined by a space, lines
+    by a line break; blocks without words are left out and take no number.
     """
     row = lambda level: rf"(?m)^[ ]*+{level}[ ]*+\t[^\n]*+$"
     # Rows that are too short are taken out, so that any row of level 3 or 4 is one that counts.
-    text = F.regexp_replace(X.unify_lines(F.col("report")), r"(?m)^(?:[^\t\n]*+\t){0,10}+[^\t\n]*+$", "")
-    heads = F.regexp_extract_all("_report", F.lit(row(3)), F.lit(0))
+    whole = F.regexp_replace(X.unify_lines(report), r"(?m)^(?:[^\t\n]*+\t){0,10}+[^\t\n]*+$", "")
     word = lambda line: F.regexp_extract_all(line, F.lit(r"(?m)^[ ]*+5[ ]*+(?:\t[^\t\n]*+){10}\t([^\t\n]*+)"), F.lit(1))
     line = lambda part: F.array_join(F.filter(F.transform(word(part), X.strip), lambda w: w != ""), " ")
     flow = lambda part: F.array_join(F.filter(F.transform(F.split(part, row(4)), line), lambda t: t != ""), "\n")
-    flows = F.transform(F.split("_report", row(3)), lambda part, i: F.struct(i.alias("nth"), flow(part).alias("text")))
-    kept = F.filter("_flows", lambda f: f["text"] != "")
-    # What stands before the first row of level 3 has no box.
-    cells = F.split(F.get(F.col("_heads"), F.col("_flow.nth") - 1), "\t")
-    number = lambda i: cells[i].try_cast("double")
-    bbox = F.when(F.col("_flow.nth") > 0, G.sized_box(number(6), number(7), number(8), number(9)))
-    block = (F.col("_pos") + 1).cast("int")
-    return (
-        reports.select(*keys, text.alias("_report"))
-        .select(*keys, heads.alias("_heads"), flows.alias("_flows"))
-        .select(*keys, "_heads", F.posexplode(kept).alias("_pos", "_flow"))
-        .select(*keys, block.alias("block"), X.numbered("block", block).alias("block_id"), F.col("_flow.text").alias("text"), bbox.alias("bbox"))
-    )
+
+    def blocks(text: Column, heads: Column) -> Column:
+        told = F.transform(F.split(text, row(3)), lambda part, i: F.struct(i.alias("nth"), flow(part).alias("text")))
+        kept = F.filter(told, lambda f: f["text"] != "")
+        if not boxes:
+            return F.transform(kept, lambda f, i: F.struct((i + 1).cast("int").alias("block"), f["text"].alias("text")))
+        # What stands before the first row of level 3 has no box.
+        cells = lambda f: F.split(F.get(heads, f["nth"] - 1), "\t")
+
+        def box(c: Column) -> Column:
+            number = lambda i: c[i].try_cast("double")
+            return G.sized_box(number(6), number(7), number(8), number(9))
+
+        return F.transform(
+            kept, lambda f, i: F.struct((i + 1).cast("int").alias("block"), f["text"].alias("text"), F.when(f["nth"] > 0, _let(cells(f), box)).alias("bbox"))
+        )
+
+    if not boxes:
+        return _let(whole, lambda text: blocks(text, text))
+    return _let(whole, lambda text: _let(F.regexp_extract_all(text, F.lit(row(3)), F.lit(0)), lambda heads: blocks(text, heads)))
+
+
+def tsv_blocks(reports: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, block, block_id, text, bbox): the blocks of text reports (keys, report), without a shuffle."""
+    told = reports.select(*keys, F.inline(tsv_flows(F.col("report"))))
+    return told.select(*keys, "block", X.numbered("block", F.col("block")).alias("block_id"), "text", "bbox")
 
 
 def tsv_text(reports: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, text): the text of the pages of text reports, a line a line of the page."""
-    blocks = tsv_blocks(reports, keys)
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda s: s["text"]), "\n")
-    return blocks.groupBy(*keys).agg(joined.alias("text"))
+    """(keys, text, blocks): the text of the pages of text reports, a line a line of the page, and the number
+    of its blocks; pages without words have none."""
+    flows = reports.select(*keys, tsv_flows(F.col("report"), boxes=False).alias("_flows"))
+    text = F.array_join(F.transform("_flows", lambda f: f["text"]), "\n")
+    return flows.select(*keys, text.alias("text"), F.size("_flows").alias("blocks"))
 
 
 def image_report(reports: DataFrame, keys: list[str], page: str) -> DataFrame:

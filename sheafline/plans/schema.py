@@ -69,6 +69,14 @@ DEFAULT_GRAPH = {
     "consolidate": ("validate",),
 }
 
+#: Keys of a graph's descriptor and of its nodes.
+GRAPH_KEYS = frozenset({"graph_id", "graph_version", "nodes"})
+NODE_KEYS = frozenset({"node_id", "depends_on", "task", "template", "schema"})
+
+# --- Fixed values: providers that can be reached, by the shape of their answers ---------------------
+
+PROVIDERS = {"ollama": "ollama", "openai_compatible": "openai_compatible", "openai": "openai_compatible", "vllm": "openai_compatible"}
+
 # --- Fixed values: thresholds --------------------------------------------------------------------
 
 TEXT_CHARS_MIN, TEXT_COVERAGE_MIN, IMAGE_COVERAGE_MIN = 20, 0.02, 0.30

@@ -156,13 +156,31 @@ def test_comparison_tells_absent_from_null(spark):
 
 
 def test_graphs():
-    assert list(answers.compile_graph(None)) == list(S.DEFAULT_GRAPH)
-    assert answers.compared_pairs(answers.compile_graph(None)) == [("compare", "extract_a", "extract_b")]
-    for bad in ({"nodes": []}, {"nodes": [{"id": "a"}, {"id": "a"}]}, {"nodes": [{"id": "a", "dependencies": ["b"]}, {"id": "b"}]}, {"what": 1}, {"nodes": [{"id": " "}]}):
-        with pytest.raises(answers.GraphError):
+    plan = answers.compile_graph(answers.default_graph())
+    assert [n.node_id for n in plan.nodes] == list(S.DEFAULT_GRAPH) and plan.nodes[3].depends_on == ("extract_a", "extract_b")
+    assert {(n.template, n.schema, n.task == n.node_id) for n in plan.nodes} == {("simple_extract", "simple", True)}
+    assert answers.compared_pairs(plan) == [("compare", "extract_a", "extract_b")]
+    head, a, b = {"graph_id": "g", "graph_version": "1"}, {"node_id": "a", "template": "t"}, {"node_id": "b", "template": "t"}
+    assert answers.compile_graph(head | {"nodes": [a, b | {"depends_on": ["a"], "schema": None, "task": "x"}]}).nodes[1].task == "x"
+    refused = {
+        "needs a graph descriptor": None, "no graph_id": {"graph_version": "1", "nodes": [a]}, "no graph_version": {"graph_id": "g", "nodes": [a]}, "declares no nodes": head | {"nodes": []},
+        "not supported: edges": head | {"nodes": [a], "edges": []}, "is not a mapping": head | {"nodes": ["a"]}, "no node_id": head | {"nodes": [a | {"node_id": " "}]},
+        "declares a twice": head | {"nodes": [a, a]}, "not supported: when": head | {"nodes": [a | {"when": 1}]}, "not a list": head | {"nodes": [a | {"depends_on": "b"}]},
+        "do not precede it: b": head | {"nodes": [a | {"depends_on": ["b"]}, b]}, "no template": head | {"nodes": [{"node_id": "a"}]}, "no task": head | {"nodes": [a | {"task": ""}]},
+    }
+    for told, bad in refused.items():
+        with pytest.raises(answers.GraphError, match=told):
             answers.compile_graph(bad)
 
 
+def test_merged_paragraphs_leave_empty_texts_out(spark):
+    from sheafline.functions import geometry as G
+
+    rows = spark.createDataFrame([(1, 1, i, "text", t, 0.1 * i) for i, t in enumerate(["a", "", "b", ""])], "document_id int, page int, `order` int, type string, text string, y double")
+    blocks = rows.withColumn("bbox", G.box(F.col("y"), F.col("y"), F.col("y") + 1, F.col("y") + 1)).withColumn("level", F.lit(None).cast("int")).drop("y")
+    assert [r["text"] for r in layout.merge_blocks(blocks).collect()] == ["a b"]
+
+
 def test_records_round_trip(spark):
     rows = spark.createDataFrame([("d", None, [1, 2])], "document_id string, note string, pages array<int>")
     payload = state.to_payload(rows, "document_id")

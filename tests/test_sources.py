@@ -106,3 +106,10 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark):
             shared_dir(session(master))
         assert shared_dir(session(master, "file:///shared/")) == "file:///shared"
     assert shared_dir(session("local[4]")).startswith("file://")
+
+
+def test_published_texts_come_back(spark, tmp_path):
+    texts = ["a", "two\nlines\r\nand more", "back\\slash \\n", "", "\\\n"]
+    files.publish_text(spark.createDataFrame([(i % 2, t) for i, t in enumerate(texts)], "part int, text string"), f"{tmp_path}/out", partitions=["part"])
+    back = files.published_text(spark, f"{tmp_path}/out")
+    assert sorted((r["part"], r["text"]) for r in back.collect()) == sorted((i % 2, t) for i, t in enumerate(texts))
