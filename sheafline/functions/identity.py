@@ -11,6 +11,8 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sheafline.plans import schema as S
+
 #: Options that never change what is computed.
 VOLATILE_OPTIONS = ("api_key", "stream")
 #: Options that steer the call and are not sent to the provider.
@@ -98,6 +100,28 @@ def processing_key(processor: Column, version: Column, input_hashes: Column, opt
     return digest(escape_ascii(body))
 
 
+def inputs_hash(inputs: Column) -> Column:
+    """SHA-256 over all that a stage consumes, in order: an array of texts and of files' digests."""
+    return digest(escape_ascii(F.to_json(inputs)))
+
+
+def options_hash(options: Column) -> Column:
+    """SHA-256 of options, canonical JSON text."""
+    return digest(escape_ascii(options))
+
+
+def stage_key(stage: str, inputs: Column, options: Column) -> Column:
+    """The processing key of a stage, made of its processor, what it consumes and its options."""
+    name, version = S.PROCESSORS[stage]
+    return processing_key(F.lit(name), F.lit(version), F.array(inputs_hash(inputs)), options)
+
+
+def document_key(input_hash: Column, options: Column) -> Column:
+    """The processing key of a whole document; no run takes part in it."""
+    name, version = S.WORKFLOW
+    return processing_key(F.lit(name), F.lit(version), F.array(input_hash), options)
+
+
 def piped_key(processor: Column, version: Column, file_digest: Column, options: Column) -> Column:
     """The processors' own formula: four parts between bars."""
     return digest(F.concat_ws("|", processor, version, file_digest, options))

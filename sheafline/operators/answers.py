@@ -81,6 +81,17 @@ def cached_results(results: DataFrame, requests: DataFrame) -> DataFrame:
     return good.join(requests.select("node_id", "request_key"), ["node_id", "request_key"], "left_semi")
 
 
+def contradictions(status: Column, attempts: Column, schema_valid: Column, violations: Column, errors: Column) -> Column:
+    """array<string>: in which ways a result contradicts itself; one that does was never an answer."""
+    rules = (
+        ((status == "SUCCESS") & (attempts == 0), "a successful run recorded no attempt"),
+        (schema_valid & (violations > 0), "a valid schema verdict carries violations"),
+        (~schema_valid & (violations == 0), "an invalid schema verdict names no violation"),
+        ((status == "FAILED") & (errors == 0), "a failed run recorded no typed error"),
+    )
+    return F.filter(F.array(*[F.when(holds, F.lit(told)) for holds, told in rules]), lambda x: x.isNotNull())
+
+
 class GraphError(ValueError):
     """A graph that cannot be run as it is described."""
 

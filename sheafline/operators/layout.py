@@ -301,3 +301,23 @@ def text_regions(boxes: DataFrame, keys: list[str]) -> DataFrame:
     by = Window.partitionBy(*keys).orderBy(F.col("bbox.t"), F.col("bbox.l"))
     return boxes.withColumn("region_id", X.numbered("region", F.row_number().over(by)))
 
+
+def conversion_failure(status: Column) -> Column:
+    """struct<type, recoverable> of what an engine's conversion came to; null for success. A conversion that
+    is partial goes on; one that failed, or says what isn't known, ends."""
+    told = lambda kind, goes_on: F.struct(F.lit(kind).alias("type"), F.lit(goes_on).alias("recoverable"))
+    return F.when(status == "partial_success", told("OCR_ERROR", True)).when(status == "failure", told("OCR_ERROR", False)).when(status.isNull() | (status != "success"), told("ENGINE_ERROR", False))
+
+
+def declared_artifacts(text: Column, markdown: Column, document: Column, tables_dir: Column, tables: Column) -> Column:
+    """The files that a good extraction has published, in that order; a folder of tables only if it found any."""
+    return F.filter(F.array(text, markdown, document, F.when(tables > 0, tables_dir)), lambda p: p.isNotNull())
+
+
+def ocr_metadata(path: Column, engine_version: Column, options: Column, metrics: Column, validation: Column, seconds: Column, steps: Column) -> Column:
+    """struct: the record of where an extraction comes from; the engine is stated, never chosen."""
+    name, version = S.PROCESSORS["OCR"]
+    return F.struct(
+        F.lit("docling").alias("engine"), engine_version.alias("engine_version"), F.lit(name).alias("processor"), F.lit(version).alias("processor_version"), options.alias("options"),
+        path.alias("input"), metrics.alias("metrics"), validation.alias("validation"), seconds.alias("seconds"), steps.alias("transformations"),
+    )

@@ -299,3 +299,26 @@ def matching_state(saved: DataFrame, graph_id: str, version: str) -> DataFrame:
     other = (F.col("graph_id") != graph_id) | (F.col("graph_version") != version)
     wrong = F.concat(F.lit("DEPENDENCY_ERROR: the saved state is of "), "graph_id", F.lit(" "), "graph_version")
     return saved.withColumn("graph_id", F.when(other, F.raise_error(wrong).cast("string")).otherwise(F.col("graph_id")))
+
+
+def describe_failure(error_type: Column, message: Column, recoverable: Column) -> Column:
+    """struct<type, message, recoverable>: a failure always has a kind, also where a processor names none."""
+    none = error_type.isNull()
+    return F.struct(
+        F.coalesce(error_type, F.lit("INTERNAL_ERROR")).alias("type"),
+        F.when(none, "the processor reported failure without a typed error").otherwise(message).alias("message"),
+        F.when(none, False).otherwise(recoverable).alias("recoverable"),
+    )
+
+
+def final_results(pages: DataFrame) -> DataFrame:
+    """(document_id, final_result): what the pages of documents came to, in their order, as JSON. pages:
+    (document_id, page_number, source, strategy, value, JSON text)."""
+    string = lambda c: F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
+    page = F.concat(
+        F.lit('{"extraction_strategy":'), string(F.col("strategy")), F.lit(',"page_number":'), F.col("page_number").cast("string"), F.lit(',"result":'), F.coalesce("value", F.lit("null")),
+        F.lit(',"selected_source":'), string(F.col("source")), F.lit("}"),
+    )
+    rows = F.array_sort(F.collect_list(F.struct("page_number", page.alias("page"))))
+    told = F.array_join(F.transform(rows, lambda r: r["page"]), ",")
+    return pages.groupBy("document_id").agg(F.concat(F.lit('{"pages":['), told, F.lit("]}")).alias("final_result"))

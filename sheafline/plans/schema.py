@@ -73,6 +73,12 @@ DEFAULT_GRAPH = {
 GRAPH_KEYS = frozenset({"graph_id", "graph_version", "nodes"})
 NODE_KEYS = frozenset({"node_id", "depends_on", "task", "template", "schema"})
 
+# --- Fixed values: names and versions that keys are made of, by stage; of a whole run; an image's quality -----
+
+PROCESSORS = {"PDF": ("pdf", "0.0.0"), "IMAGE": ("image", "0.0.0"), "OCR": ("ocr", "0.0.0"), "LLM": ("llm", "0.0.0")}
+WORKFLOW = ("workflow", "0.0.0")
+QUALITY_MIN, QUALITY_MAX = 1, 100
+
 # --- Fixed values: providers that can be reached, by the shape of their answers ---------------------
 
 PROVIDERS = {"ollama": "ollama", "openai_compatible": "openai_compatible", "openai": "openai_compatible", "vllm": "openai_compatible"}

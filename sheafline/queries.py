@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sheafline import catalog
-from sheafline.catalog import answers, images, layout, state, streams, text  # noqa: F401  they register
+from sheafline.catalog import answers, images, layout, state, streams, text, workflow  # noqa: F401  they register
 
 QUERIES = catalog.QUERIES
 ORACLES = catalog.ORACLES
