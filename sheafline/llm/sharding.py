@@ -1,7 +1,7 @@
 """Sharding as vector bin packing over bytes, tokens and rows.
 
 Rows of equal texts are a group and stay together. A group that needs more than a SPLIT part of a shard
-in any measure is cut into equal parts by a hash of the row's id; groups of under a FINE part are put
+in any measure is cut into equal parts by a hash of the row's number; groups of under a FINE part are put
 together, by a hash of the text, into BUNDLES bundles a shard. So the driver places a number of units
 that the number of shards bounds, whatever the corpus holds: largest first, each where the dot product
 of its measures with the shard's residual capacity is highest.
@@ -50,6 +50,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.regexp_count(text, F.lit("\\S+")).cast("long").alias("tokens"),
             F.xxhash64(text).alias("key"),
+            # Fixed once it is written; ids may be null or repeat in very many rows.
+            F.monotonically_increasing_id().alias("row"),
         )
     )
     sums = [F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
@@ -64,13 +66,13 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     cut = F.col("cuts").isNotNull()
     dealt = (
         rows.join(F.broadcast(large), "key", "left")
-        .withColumn("cut", F.when(cut, F.pmod(F.xxhash64("doc_id"), F.col("cuts"))).otherwise(-1).cast("int"))
+        .withColumn("cut", F.when(cut, F.pmod(F.xxhash64("row"), F.col("cuts"))).otherwise(-1).cast("int"))
         .withColumn("unit", F.when(cut, F.col("key")).otherwise(F.pmod("key", F.lit(shards * BUNDLES))))
     )
     units = dealt.groupBy("unit", "cut").agg(*sums).orderBy("unit", "cut").collect()
     found = place(np.array([[u[m] / share[m] for m in MEASURES] for u in units]).reshape(-1, len(MEASURES)), shards)
     homes = spark.createDataFrame([(u["unit"], u["cut"], int(s)) for u, s in zip(units, found)], "unit long, cut int, shard int")
-    placed = dealt.join(F.broadcast(homes), ["unit", "cut"]).select("doc_id", "size", "text_crc32", "shard")
-    return ranked(placed, "shard", ["doc_id", "text_crc32", "size"], total["rows"] or 0, "slot").select(
+    placed = dealt.join(F.broadcast(homes), ["unit", "cut"]).select("doc_id", "size", "text_crc32", "shard", "row")
+    return ranked(placed, "shard", ["doc_id", "text_crc32", "size", "row"], total["rows"] or 0, "slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

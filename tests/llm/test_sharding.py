@@ -50,3 +50,25 @@ def test_edge_cases(spark):
     got = shards(spark, [(1, None, None)])
     assert [(r["size"], r["text_crc32"], r["slot"]) for r in got] == [(16, 0, 0)]
     assert len(shards(spark, [(1, "a", None)] * 5)) == 5
+
+
+def test_placement_against_plain_python():
+    """Largest first, each unit where the dot product with what is left is highest, ties to the first shard."""
+    rng = random.Random(6)
+    for _ in range(20):
+        units = [[rng.random() / 3 for _ in range(3)] for _ in range(60)]
+        room, want = [[1.0] * 3 for _ in range(6)], [0] * len(units)
+        for i in sorted(range(len(units)), key=lambda i: -max(units[i])):
+            gain = [sum(r * u for r, u in zip(left, units[i])) for left in room]
+            want[i] = max(range(6), key=lambda s: (round(gain[s], 12), -s))
+            room[want[i]] = [r - u for r, u in zip(room[want[i]], units[i])]
+        assert sharding.place(np.array(units), 6).tolist() == want
+
+
+def test_a_hot_group_without_ids_is_cut(spark):
+    rows = [(None, "no id, but very often the same", "x")] * 1200 + [(3, "one id and one text", "x")] * 900 + [(100 + i, f"text {i} of its own", "x") for i in range(900)]
+    got = shards(spark, rows)
+    counts = [sum(r["shard"] == s for r in got) for s in range(8)]
+    assert len(got) == 3000 and max(counts) <= 1.25 * min(counts)
+    for s in range(8):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(counts[s]))
