@@ -244,7 +244,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
     the one id END; an empty table gives an empty result. Other columns of docs are not read.
     """
     scratch = Scratch(docs.sparkSession, "packing")
-    cut = scratch.table(pieces(docs, vocabulary, capacity))
+    # A piece's number is fixed once it is written; ids may be null or repeat in very many rows.
+    cut = scratch.table(pieces(docs, vocabulary, capacity).withColumn("row", F.monotonically_increasing_id()))
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     places = Places(pack_counts(counts, capacity))
 
@@ -258,7 +259,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
                 ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    dealt = ranked(cut, "length", ["doc_id", "piece", "ids_crc32"], sum(counts.values()))
+    dealt = ranked(cut, "length", ["doc_id", "piece", "ids_crc32", "row"], sum(counts.values()))
     return dealt.mapInArrow(
         place,
         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
