@@ -542,11 +542,12 @@ def similar_groups(
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), _digest(text).alias("digest"), text.alias("text"))
     links = similar_links(classes, texts, scratch, words, similarity).union(near_links(distinct)).union(ties.where("u != v"))
     components = connected_components(links, scratch).withColumnRenamed("node", "rep")
-    named = own.join(components, "rep", "left").select("doc_id", "digest", F.coalesce("component", "rep").alias("group"))
+    named = classes.join(components, "rep", "left").select("rep", "doc_id", "digest", F.coalesce("component", "rep").alias("group"))
     least = named.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("least"))
-    return named.join(least, "group").select(
-        "doc_id", "digest", F.col("least.doc_id").alias("component_id"), F.col("least.digest").alias("first")
-    )
+    # Rows meet their class only, and nothing follows that would tie them to its task, so a class of very many
+    # rows may be split.
+    first = scratch.table(named.select("rep", "group").join(least, "group").select("rep", "least"))
+    return own.join(first, "rep").select("doc_id", "digest", F.col("least.doc_id").alias("component_id"), F.col("least.digest").alias("first"))
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
