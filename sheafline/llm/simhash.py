@@ -180,10 +180,10 @@ def _linked(dealt: DataFrame, deal: str, columns: list[str], links: Callable, sh
     a bound of its own, so their counts are broadcast. weight: the share of a chunk that a row fills, where
     rows differ in size; shard_rows bounds a chunk still."""
     shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(0.0) if weight is None else weight).alias("w")).where("n > 1")
+    shared = shared.select("key", F.ceil(F.greatest(F.col("n") / F.lit(shard_rows), "w")).cast("int").alias("chunks"))
     shared = F.broadcast(shared) if few_keys else shared
     cut = (
         dealt.join(shared, "key")
-        .withColumn("chunks", F.ceil(F.greatest(F.col("n") / F.lit(shard_rows), "w")).cast("int"))
         .withColumn("chunk", F.pmod(F.xxhash64(deal), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("key", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", *columns)
@@ -508,7 +508,9 @@ def similar_links(
     # Repeated rows give a set again.
     members = scratch.table(families.select("rep", "key").join(sets.groupBy("rep").agg(F.min("hashes").alias("hashes")), "rep"))
     large = _linked(members, "rep", ["rep", "hashes"], _similar(similarity), shard_rows, weight=F.octet_length("hashes") / SET_BYTES)
-    return large.union(small_links(classes.where("small is not null").select("rep", "small"), similarity, shard_rows))
+    # Each is written by itself: a plan over all of them is planned anew, whole, as each of its stages ends.
+    few_shingles = small_links(classes.where("small is not null").select("rep", "small"), similarity, shard_rows)
+    return scratch.table(large).union(scratch.table(few_shingles))
 
 
 def similar_groups(
@@ -540,7 +542,8 @@ def similar_groups(
     ties = own.select("fp", "rep").distinct().join(distinct.withColumnRenamed("rep", "least"), "fp").select(F.col("rep").alias("u"), F.col("least").alias("v"))
     text = F.col(text_column)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), _digest(text).alias("digest"), text.alias("text"))
-    links = similar_links(classes, texts, scratch, words, similarity).union(near_links(distinct)).union(ties.where("u != v"))
+    similar = similar_links(classes, texts, scratch, words, similarity)
+    links = similar.union(scratch.table(near_links(distinct))).union(scratch.table(ties.where("u != v")))
     components = connected_components(links, scratch).withColumnRenamed("node", "rep")
     named = classes.join(components, "rep", "left").select("rep", "doc_id", "digest", F.coalesce("component", "rep").alias("group"))
     least = named.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("least"))
