@@ -318,6 +318,6 @@ def ocr_metadata(path: Column, engine_version: Column, options: Column, metrics:
     """struct: the record of where an extraction comes from; the engine is stated, never chosen."""
     name, version = S.PROCESSORS["OCR"]
     return F.struct(
-        F.lit("docling").alias("engine"), engine_version.alias("engine_version"), F.lit(name).alias("processor"), F.lit(version).alias("processor_version"), options.alias("options"),
+        F.lit(S.OCR_ENGINE).alias("engine"), engine_version.alias("engine_version"), F.lit(name).alias("processor"), F.lit(version).alias("processor_version"), options.alias("options"),
         path.alias("input"), metrics.alias("metrics"), validation.alias("validation"), seconds.alias("seconds"), steps.alias("transformations"),
     )

@@ -78,6 +78,8 @@ NODE_KEYS = frozenset({"node_id", "depends_on", "task", "template", "schema"})
 PROCESSORS = {"PDF": ("pdf", "0.0.0"), "IMAGE": ("image", "0.0.0"), "OCR": ("ocr", "0.0.0"), "LLM": ("llm", "0.0.0")}
 WORKFLOW = ("workflow", "0.0.0")
 QUALITY_MIN, QUALITY_MAX = 1, 100
+#: The engine that an extraction's record names.
+OCR_ENGINE = "docling"
 
 # --- Fixed values: providers that can be reached, by the shape of their answers ---------------------
 

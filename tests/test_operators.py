@@ -201,3 +201,10 @@ def test_saved_graphs_must_match(spark):
     assert state.matching_state(saved, "g", "1").count() == 1
     with pytest.raises(Exception, match="saved state is of g 1"):
         state.matching_state(saved, "g", "2").collect()
+
+
+def test_records_of_extractions(spark):
+    row = spark.range(1).select(
+        layout.ocr_metadata(F.lit("a.png"), F.lit("2"), F.lit("{}"), F.lit(3), F.lit("VALID"), F.lit(0.5), F.array(F.lit("deskew"))).alias("m")
+    ).first()["m"]
+    assert (row["engine"], row["processor"], row["processor_version"], row["input"], row["transformations"]) == (S.OCR_ENGINE, "ocr", "0.0.0", "a.png", ["deskew"])
