@@ -108,5 +108,5 @@ def numbered(prefix: str, position: Column) -> Column:
 
 
 def trailing_number(path: Column) -> Column:
-    """The number at the end of a file's stem, so that 10 sorts after 9."""
-    return F.try_to_number(F.nullif(F.regexp_extract(path, r"([0-9]+)(?:\.[^./]*)?$", 1), F.lit("")), F.lit("9" * 18)).cast("long")
+    """The number at the end of a file's stem, so that 10 sorts after 9; null if there is none, or one over 64 bits."""
+    return F.regexp_extract(path, r"([0-9]+)(?:\.[^./]*)?$", 1).try_cast("long")

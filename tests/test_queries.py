@@ -68,3 +68,12 @@ def test_images_hold_whole_pages(spark, tmp_path):
         expected = dict(zip(names, told))
         for name in set(names) - {"regions"}:
             assert plain(got[page][name]) == plain(expected[name]), (page, name)
+
+
+def test_file_numbers_of_long_and_odd_ids(spark, tmp_path):
+    ids = [0, 3, 9, 999, 1002, 1500, 2499, 12345, 1000, 1001, -3, -6, -4, 10**18 + 2, 9 * 10**18 + 1, 9223372036854775807, None]
+    spark.createDataFrame([(i, "") for i in ids], "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    got = QUERIES["file_numbers"](spark, str(tmp_path)).select("page_id", "n").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.sql(ORACLES["file_numbers"]).fetchall()))
