@@ -239,17 +239,14 @@ def typed_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _kernels(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        rows = []
-        for key, content in zip(frame["p_partkey"], frame["content"]):
-            image = imaging.pixels(content, 2, 2, 3)
-            gray = imaging.grayscale(image)
-            rows.append(
-                (
-                    key, int(gray[0, 0]), int(gray[1, 1]), int(imaging.brighten(gray, 60)[0, 0]), int(imaging.resize(gray, 1, 1)[0, 0]), int(imaging.apply_steps(gray, ["orientation"], {})[0, 1]),
-                    imaging.channels(imaging.convert(image, "BGRA")), int(imaging.convert(image, "BGRA")[0, 0, 3]), *imaging.dimensions(imaging.upscale(gray, 2)),
-                )
-            )
-        yield pd.DataFrame(rows, columns=["p_partkey", "first", "last", "bright", "small", "turned", "channels", "alpha", "width", "height"])
+        images = imaging.stacked(frame["content"].tolist(), 2, 2, 3)
+        gray, wide = imaging.grayscale(images), imaging.convert(images, "BGRA")
+        width, height = imaging.dimensions(imaging.upscale(gray, 2))
+        told = {
+            "first": gray[0, 0], "last": gray[1, 1], "bright": imaging.brighten(gray, 60)[0, 0], "small": imaging.resize(gray, 1, 1)[0, 0],
+            "turned": imaging.apply_steps(gray, ["orientation"], {})[0, 1], "channels": imaging.channels(wide), "alpha": wide[0, 0, :, 3], "width": width, "height": height,
+        }
+        yield pd.DataFrame({"p_partkey": frame["p_partkey"].to_numpy()} | told)
 
 
 @query("""

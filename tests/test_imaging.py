@@ -79,3 +79,29 @@ def test_corrections():
     assert I.equalize(gray).shape == gray.shape and (I.denoise(np.full((20, 20), 7, np.uint8)) == 7).all()
     with pytest.raises(ValueError):
         I.binarize(gray, 4, 1.0)
+
+
+def test_a_stack_is_its_images():
+    images = RNG.integers(0, 256, (300, 4, 6, 3), np.uint8)
+    images[::2] -= images[::2] % 5  # ties of a half among them
+    stack = I.stacked([i.tobytes() for i in images], 6, 4, 3)
+    for whole, one in (
+        (I.grayscale(stack), I.grayscale), (I.brighten(stack, 60), lambda i: I.brighten(i, 60)), (I.resize(I.grayscale(stack), 3, 2), lambda i: I.resize(I.grayscale(i), 3, 2)),
+        (I.upscale(I.grayscale(stack), 2), lambda i: I.upscale(I.grayscale(i), 2)), (I.apply_steps(stack, ["orientation"], {}), lambda i: I.apply_steps(i, ["orientation"], {})),
+        (I.convert(stack, "BGRA"), lambda i: I.convert(i, "BGRA")),
+    ):
+        assert all((whole[:, :, n] == one(image)).all() for n, image in enumerate(images))
+    assert I.dimensions(stack) == (6, 4) and I.channels(I.convert(stack, "BGRA")) == 4
+    assert I.stacked([], 6, 4, 3).shape == (4, 6, 0, 3)
+
+
+def test_kernels_run_once_a_batch(monkeypatch):
+    import pandas as pd
+
+    from sheafline.catalog import workflow
+
+    calls, resize = [], I.resize
+    monkeypatch.setattr(I, "resize", lambda *a: calls.append(1) or resize(*a))
+    frame = pd.DataFrame({"p_partkey": range(1000), "content": [bytes((n + i) % 256 for i in range(12)) for n in range(1000)]})
+    told = pd.concat(workflow._kernels(iter([frame, frame[:7]])))
+    assert len(told) == 1007 and len(calls) == 2
