@@ -229,32 +229,44 @@ def tsv_flows(report: Column, boxes: bool = True) -> Column:
     adds the word in column 11. Rows under 12 columns count for nothing; words are joined by a space, lines
     by a line break; blocks without words are left out and take no number.
     """
-    row = lambda level: rf"(?m)^[ ]*+{level}[ ]*+\t[^\n]*+$"
-    # Rows that are too short are taken out, so that any row of level 3 or 4 is one that counts.
-    whole = F.regexp_replace(X.unify_lines(report), r"(?m)^(?:[^\t\n]*+\t){0,10}+[^\t\n]*+$", "")
-    word = lambda line: F.regexp_extract_all(line, F.lit(r"(?m)^[ ]*+5[ ]*+(?:\t[^\t\n]*+){10}\t([^\t\n]*+)"), F.lit(1))
-    line = lambda part: F.array_join(F.filter(F.transform(word(part), X.strip), lambda w: w != ""), " ")
-    flow = lambda part: F.array_join(F.filter(F.transform(F.split(part, row(4)), line), lambda t: t != ""), "\n")
-
-    def blocks(text: Column, heads: Column) -> Column:
-        told = F.transform(F.split(text, row(3)), lambda part, i: F.struct(i.alias("nth"), flow(part).alias("text")))
-        kept = F.filter(told, lambda f: f["text"] != "")
+    # Searches for single characters only: patterns, and a split of each row into its columns, cost several times that.
+    upto = lambda row, columns: F.substring_index(row, "\t", columns)
+    level = lambda row, n: (F.trim(upto(row, 1)) == n) & (F.octet_length(upto(row, 11)) < F.octet_length(row))
+
+    def element(row: Column) -> Column:
+        word = F.nullif(F.substring_index(upto(row, 12), "\t", -1), F.lit(""))
+        return F.when(level(row, "5"), word).when(level(row, "3"), "\t").when(level(row, "4"), "\n")
+
+    def box(cells: Column) -> Column:
+        number = lambda i: cells[i].try_cast("double")
+        return G.sized_box(number(6), number(7), number(8), number(9))
+
+    def flows(joined: Column) -> Column:
+        # Words stand between CRs, which they don't hold; stripped one by one only where any has white space.
+        spaced = F.lit(False)
+        for c in set(X.SPACES) - set("\t\n\r"):
+            spaced = F.contains(joined, F.lit(c)) | spaced
+        stripped = lambda line: F.array_join(F.filter(F.transform(F.split(line, "\r"), X.strip), lambda w: w != ""), " ")
+        plain = lambda line: F.trim(F.replace(line, F.lit("\r"), F.lit(" ")))
+
+        def parted(line: Callable[[Column], Column]) -> Column:
+            flow = lambda part: F.array_join(F.filter(F.transform(F.split(part, "\n"), line), lambda t: t != ""), "\n")
+            return F.transform(F.split(joined, "\t"), lambda part, i: F.struct(i.alias("nth"), flow(part).alias("text")))
+
+        return F.filter(F.when(spaced, parted(stripped)).otherwise(parted(plain)), lambda f: f["text"] != "")
+
+    def blocks(rows: Column) -> Column:
+        kept = _let(F.array_join(F.transform(rows, element), "\r"), flows)
         if not boxes:
             return F.transform(kept, lambda f, i: F.struct((i + 1).cast("int").alias("block"), f["text"].alias("text")))
+        heads = F.filter(rows, lambda row: F.startswith(F.ltrim(row), F.lit("3")) & level(row, "3"))
         # What stands before the first row of level 3 has no box.
-        cells = lambda f: F.split(F.get(heads, f["nth"] - 1), "\t")
-
-        def box(c: Column) -> Column:
-            number = lambda i: c[i].try_cast("double")
-            return G.sized_box(number(6), number(7), number(8), number(9))
-
-        return F.transform(
-            kept, lambda f, i: F.struct((i + 1).cast("int").alias("block"), f["text"].alias("text"), F.when(f["nth"] > 0, _let(cells(f), box)).alias("bbox"))
+        return _let(
+            F.transform(heads, lambda row: _let(F.split(row, "\t"), box)),
+            lambda found: F.transform(kept, lambda f, i: F.struct((i + 1).cast("int").alias("block"), f["text"].alias("text"), F.get(found, f["nth"] - 1).alias("bbox"))),
         )
 
-    if not boxes:
-        return _let(whole, lambda text: blocks(text, text))
-    return _let(whole, lambda text: _let(F.regexp_extract_all(text, F.lit(row(3)), F.lit(0)), lambda heads: blocks(text, heads)))
+    return _let(F.split(X.unify_lines(report), "\n"), blocks)
 
 
 def tsv_blocks(reports: DataFrame, keys: list[str]) -> DataFrame:

@@ -208,3 +208,37 @@ def test_records_of_extractions(spark):
         layout.ocr_metadata(F.lit("a.png"), F.lit("2"), F.lit("{}"), F.lit(3), F.lit("VALID"), F.lit(0.5), F.array(F.lit("deskew"))).alias("m")
     ).first()["m"]
     assert (row["engine"], row["processor"], row["processor_version"], row["input"], row["transformations"]) == (S.OCR_ENGINE, "ocr", "0.0.0", "a.png", ["deskew"])
+
+
+def _plain_blocks(report):
+    """[text, left] of each block of a text report, by plain loops."""
+    blocks = [[[[]], None]]
+    for line in report.replace("\r\n", "\n").replace("\r", "\n").split("\n"):
+        cells = line.split("\t")
+        level = cells[0].strip(" ") if len(cells) >= 12 else ""
+        if level == "3":
+            blocks.append([[[]], float(cells[6])])
+        elif level == "4":
+            blocks[-1][0].append([])
+        elif level == "5":
+            blocks[-1][0][-1].append(cells[11].strip())
+    told = [("\n".join(t for t in (" ".join(w for w in words if w) for words in lines) if t), left) for lines, left in blocks]
+    return [b for b in told if b[0]]
+
+
+def test_reports_with_odd_words(spark):
+    row = lambda level, word="", more="": f"{level}\t1\t1\t1\t1\t1\t{len(word)}\t20\t30\t5\t99\t{word}{more}"
+    parts = [
+        row(5, "before"), row(3, "head"), row(4), row(5, "a b"), row(5, "c\x85d e"), row(5, " \xa0f　"), row(5, " "), row(5), row(4), row(" 5 ", "g", "\tmore"), "5\tshort\trow", "3\tshort",
+        "", row("\xa05", "not"), row("35", "not"), row(3, "empty"), row(4), row(4), row(" 3 ", "last one"), row(5, "3"), row(2, "no"), row(5, "h"),
+    ]
+    reports = ["\n".join(parts), "\r\n".join(parts), "\n".join(p for p in parts if not any(c in p for c in " \x85\xa0　 ")), "", row(5, "x"), "\n".join([row(3)] + [row(5, "\v")] * 3)]
+    df = spark.createDataFrame(list(enumerate(reports)), "page int, report string")
+    got = {n: [] for n in range(len(reports))}
+    for r in layout.tsv_blocks(df, ["page"]).orderBy("page", "block").collect():
+        got[r["page"]].append((r["text"], r["bbox"] and r["bbox"]["l"]))
+        assert r["block"] == len(got[r["page"]])
+    assert got == {n: _plain_blocks(report) for n, report in enumerate(reports)}
+    for r in layout.tsv_text(df, ["page"]).collect():
+        assert r["text"] == "\n".join(t for t, _ in got[r["page"]]) and r["blocks"] == len(got[r["page"]])
+    assert "regexp" not in layout.tsv_text(df, ["page"])._jdf.queryExecution().optimizedPlan().toString().lower()
