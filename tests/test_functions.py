@@ -171,3 +171,11 @@ def test_typed_options(spark):
     assert one(spark, options.without_control(stated)) == {"top_p": "1"}
     fixed = F.create_map(F.lit("top_p"), F.lit("2"))
     assert one(spark, options.engine_config(stated, fixed)) == {"api_key": "k", "timeout": "3", "top_p": "2"}
+
+
+def test_a_body_is_parsed_once(spark):
+    bodies = ['{"message": {"content": "x"}, "eval_count": 7, "prompt_eval_count": 2}', '{"choices": [{"message": {"content": "y"}}], "usage": {"prompt_tokens": 3}}', None]
+    rows = [(i, p, b) for i, (p, b) in enumerate(zip(("ollama", "openai", "openai"), bodies))]
+    df = spark.createDataFrame(rows, "n int, p string, b string").select("n", prompts.answer_of(F.col("p"), F.try_parse_json("b")).alias("a")).select("n", "a.text", "a.usage.input_tokens", "a.usage.total_tokens")
+    assert [tuple(r) for r in df.orderBy("n").collect()] == [(0, "x", 2, 9), (1, "y", 3, None), (2, None, None, None)]
+    assert df._jdf.queryExecution().analyzed().toString().count("parse_json") == 1
